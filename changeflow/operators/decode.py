@@ -17,6 +17,7 @@ from changeflow.functions import json_fields as J
 from changeflow.schemas import (
     BARE,
     ENVELOPES,
+    FLAT,
     INSERT,
     KEY,
     METRICS,

@@ -59,9 +59,9 @@ def file_options(
 
 
 def _topic_path(root: str, topics: str | Sequence[str]) -> str:
-    names = _names(topics)
-    chosen = names[0] if len(names) == 1 else "{" + ",".join(names) + "}"
-    return f"{root}/topic={chosen}"
+    # Always a glob: a stream takes any other path as its own base path, and
+    # the topic would not be a column.
+    return f"{root}/topic={{{','.join(_names(topics))}}}"
 
 
 def read_change_stream(
