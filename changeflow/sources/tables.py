@@ -114,7 +114,9 @@ def init_tables(
             f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{root}/{name}'"
         )
         if overwrite:
-            spark.sql(f"TRUNCATE TABLE {name}")
+            empty = spark.createDataFrame([], spark.table(name).schema)
+            static = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            static.insertInto(name)
     return list(tables)
 
 
