@@ -43,11 +43,11 @@ def _missing(
     return spark.createDataFrame(rows, _STATS)
 
 
-def _tall(stats: DataFrame, table: str, side: str, values: Mapping[str, str]) -> DataFrame:
+def _tall(stats: DataFrame, table: Column, side: str, values: Mapping[str, str]) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
-                F.lit(table).alias("table"),
+                table.alias("table"),
                 F.lit(check).alias("check_name"),
                 F.lit(side).alias("side"),
                 F.col(column).cast("string").alias("value"),
@@ -59,6 +59,22 @@ def _tall(stats: DataFrame, table: str, side: str, values: Mapping[str, str]) ->
     return stats.select(F.inline(rows))
 
 
+def _aggregates(
+    df: DataFrame, key: str, columns: Sequence[str], checks: Sequence[str]
+) -> tuple[list[Column], dict[str, str]]:
+    """Aggregates of one pass, and the column that holds each check's value."""
+    aggregates, values = [], {}
+    if ROW_COUNT in checks:
+        aggregates.append(F.count("*").alias("n"))
+        values[ROW_COUNT] = "n"
+    for check, names in ((KEY_CHECKSUM, [key]), (ROW_CHECKSUM, columns)):
+        if check in checks:
+            total, xor = checksum_columns(row_text(df, names))
+            aggregates.append(F.concat_ws(":", total, xor).alias(check))
+            values[check] = check
+    return aggregates, values
+
+
 def table_stats(
     df: DataFrame,
     table: str,
@@ -70,26 +86,39 @@ def table_stats(
 ) -> DataFrame:
     """The tall rows of one side.  Count and both checksums share one scan."""
     columns = list(columns or df.columns)
-    aggregates, values = [], {}
-    if ROW_COUNT in checks:
-        aggregates.append(F.count("*").alias("n"))
-        values[ROW_COUNT] = "n"
-    for check, names in ((KEY_CHECKSUM, [key]), (ROW_CHECKSUM, columns)):
-        if check in checks:
-            total, xor = checksum_columns(row_text(df, names))
-            aggregates.append(F.concat_ws(":", total, xor).alias(check))
-            values[check] = check
+    aggregates, values = _aggregates(df, key, columns, checks)
     parts = []
     if aggregates:
-        parts.append(_tall(df.agg(*aggregates), table, side, values))
+        parts.append(_tall(df.agg(*aggregates), F.lit(table), side, values))
     if SAMPLE_CHECKSUM in checks:
         sampled = partial_checksum(df, sample, key, columns)
         # An empty table has a checksum too: that of no rows.
         sampled = sampled.select(F.coalesce("sample_checksum", F.lit("")).alias("sample_checksum"))
-        parts.append(_tall(sampled, table, side, {SAMPLE_CHECKSUM: "sample_checksum"}))
+        values = {SAMPLE_CHECKSUM: "sample_checksum"}
+        parts.append(_tall(sampled, F.lit(table), side, values))
     return reduce(DataFrame.unionByName, parts)
 
 
+def grouped_stats(
+    df: DataFrame,
+    side: str,
+    by: str = "table",
+    key: str = "uuid",
+    columns: Sequence[str] | None = None,
+    checks: Sequence[str] = (ROW_COUNT, KEY_CHECKSUM, ROW_CHECKSUM),
+) -> DataFrame:
+    """Tall rows of all tables that one DataFrame holds, in one scan.
+
+    For a side in which ``by`` names each row's table.  The groups are as few
+    as the tables, and each task hands on one row per group.
+    """
+    if SAMPLE_CHECKSUM in checks:
+        raise ValueError("a sample is taken table by table: use table_stats")
+    columns = list(columns or [c for c in df.columns if c != by])
+    aggregates, values = _aggregates(df, key, columns, checks)
+    return _tall(df.groupBy(by).agg(*aggregates), F.col(by), side, values)
+
+
 def _build(
     df: DataFrame, table: str, side: str, key: str, columns: Sequence[str] | None,
     checks: Sequence[str], sample: int,

@@ -24,7 +24,8 @@ def latest_changes(
     keys, order = list(keys), list(order)
     rest = [c for c in changes.columns if c not in keys]
     row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    position = F.struct(*[F.col(f"`{c}`") for c in order])
+    columns = [F.col(f"`{c}`") for c in order]
+    position = columns[0] if len(columns) == 1 else F.struct(*columns)
     latest = changes.groupBy(*keys).agg(F.max_by(row, position).alias("_latest"))
     return latest.select(*keys, "_latest.*").select(*changes.columns)
 

@@ -121,3 +121,13 @@ def test_other_tables(spark, small):
     )
     assert verdicts(spark, orders, orders, key="o_orderkey") == all_of(R.PASS)
     assert verdicts(spark, orders, dearer, key="o_orderkey")[R.ROW_CHECKSUM] == R.FAIL
+
+
+def test_grouped_stats_agree_with_one_table_at_a_time(spark, source):
+    both = source.withColumn("table", F.lit("a")).unionByName(
+        source.where("robot_id = 'RobotID_01'").withColumn("table", F.lit("b"))
+    )
+    checks = [R.ROW_COUNT, R.KEY_CHECKSUM, R.ROW_CHECKSUM]
+    tables = {t: both.where(F.col("table") == t).drop("table") for t in ("a", "b")}
+    single = R.side_stats(spark, "source", tables, checks=checks)
+    assert rows(R.grouped_stats(both, "source")) == rows(single)
