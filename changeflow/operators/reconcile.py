@@ -119,6 +119,15 @@ def grouped_stats(
     return _tall(df.groupBy(by).agg(*aggregates), F.col(by), side, values)
 
 
+def stats_from_query(result: DataFrame, table: str, side: str) -> DataFrame:
+    """Tall rows from one row of check values that the source database computed.
+
+    The columns are named after the checks; see ``sources.postgres``.
+    """
+    values = {check: check for check in CHECKS if check in result.columns}
+    return _tall(result, F.lit(table), side, values)
+
+
 def _build(
     df: DataFrame, table: str, side: str, key: str, columns: Sequence[str] | None,
     checks: Sequence[str], sample: int,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.schemas import DELETE
@@ -55,10 +55,29 @@ def fold_changes(
     """Bring earlier :func:`latest_changes` up to date with newer ones.
 
     A periodic job reads the last result and the new part of the log, not the
-    whole log.  Deletes stay in the result so that a late replay of an older
-    change cannot bring a row back; :func:`drop_deleted` gives the live rows.
+    whole log.  The new part is reduced to one row per key and joined; both
+    sides have unique keys, so no key can be hot.  Where ``latest`` is a table
+    bucketed by the keys (``save_bucketed``), only the new part is shuffled.
+
+    Deletes stay in the result so that a late replay of an older change cannot
+    bring a row back; :func:`drop_deleted` gives the live rows.  Keys must not
+    be NULL.
     """
-    return latest_changes(latest.unionByName(changes.select(*latest.columns)), keys, order)
+    keys, order = list(keys), list(order)
+    columns = latest.columns
+    newer = latest_changes(changes.select(*columns), keys, order)
+    old = latest.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_old"))
+    new = newer.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_new"))
+    both = old.join(new, keys, "full_outer")
+
+    def position(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.`{c}`") for c in order])
+
+    replaced = F.col("_old").isNull() | (
+        F.col("_new").isNotNull() & (position("_new") > position("_old"))
+    )
+    row = F.when(replaced, F.col("_new")).otherwise(F.col("_old"))
+    return both.select(*keys, row.alias("_row")).select(*keys, "_row.*").select(*columns)
 
 
 def dedupe_replays(

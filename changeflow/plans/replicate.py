@@ -26,7 +26,7 @@ from changeflow.operators.routing import (
     route_default_teleop,
     split_by_presence,
 )
-from changeflow.operators.state import current_state
+from changeflow.operators.state import current_state, dedupe_replays
 from changeflow.schemas import (
     BARE,
     EVENT_TOPICS,
@@ -44,7 +44,7 @@ from changeflow.schemas import (
     table_schema,
 )
 from changeflow.sources.stream import FILES, read_change_stream
-from changeflow.sources.tables import read_table
+from changeflow.sources.tables import read_table, write_table
 from changeflow.streaming.sinks import (
     EVENT_TRIGGER,
     METRICS_TRIGGER,
@@ -215,5 +215,23 @@ def replicated_table(
     spark: SparkSession, root: str, table: str, fmt: str = "parquet"
 ) -> DataFrame:
     """The table as the change log leaves it: its live rows and columns."""
-    live = current_state(read_change_log(spark, root, table, fmt))
-    return live.select(*table_schema(table).fieldNames())
+    names = table_schema(table).fieldNames()
+    log = read_change_log(spark, root, table, fmt).select("operation", *names, "offset")
+    return current_state(log).select(*names)
+
+
+def compact_log(
+    spark: SparkSession, root: str, table: str, target: str, fmt: str = "parquet",
+    upto: int | None = None,
+) -> None:
+    """Rewrite a landed log into few well-sized files under another path.
+
+    Every micro-batch leaves files of its own; this gathers them by robot and
+    removes what several deliveries left behind.  ``upto`` takes the batches up
+    to that id.  The landed log itself is not touched.
+    """
+    log = read_change_log(spark, root, table, fmt)
+    if upto is not None:
+        log = log.where(F.col("batch_id") <= upto)
+    rows = dedupe_replays(log.select(*change_log_schema(table).fieldNames()))
+    write_table(rows, target, ["robot_id"], fmt, mode="overwrite")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators.layout import rebalance
@@ -139,6 +138,16 @@ def write_table(
     writer.save(path)
 
 
-def distinct_partitions(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Rows per partition value; shows small and hot partitions."""
-    return df.groupBy(*partitions).agg(F.count("*").alias("row_count"))
+def save_bucketed(
+    df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None,
+    fmt: str = "parquet",
+) -> None:
+    """Write a table bucketed and sorted by its keys.
+
+    Later joins and aggregations on the keys read it without a shuffle.  The
+    rows are arranged by bucket first, so each bucket is one file.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format(fmt)
+    if path:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)

@@ -113,3 +113,52 @@ def test_work_folders_are_under_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = session.work_folder(spark, "a"), session.work_folder(spark, "a")
     assert first != second and first.startswith(shared)
+
+
+def test_source_side_queries():
+    """The texts that PostgreSQL runs; no server is started to run them."""
+    from changeflow.sources import postgres
+
+    schema = schemas.table_schema("robot")
+    assert postgres.row_sql(schema, ["uuid", "timestamp"]) == (
+        r"concat_ws('|', coalesce(replace(replace(uuid, '\', '\\'), '|', '\|'), '\N'), "
+        r"coalesce(to_char(timestamp, 'YYYY-MM-DD HH24:MI:SS.US'), '\N'))"
+    )
+    text = postgres.stats_query("robot", schema)
+    for check in ("row_count", "key_checksum", "row_checksum", "sample_checksum"):
+        assert f" AS {check}" in text
+    assert text.endswith(" FROM robot") and "LIMIT 100" in text
+    zoned = postgres.value_sql("t", schemas.table_schema("robot", zoned=True)["timestamp"].dataType)
+    assert "AT TIME ZONE 'UTC'" in zoned
+    with pytest.raises(ValueError):
+        from pyspark.sql import types as T
+        postgres.value_sql("m", T.MapType(T.StringType(), T.StringType()))
+
+
+def test_stats_from_a_query_compare_with_spark_stats(spark):
+    from changeflow.operators import reconcile as R
+
+    df = spark.createDataFrame([("a", 1), ("b", None)], "uuid string, n int")
+    stats = R.table_stats(df, "t", "target")
+    found = {r.check_name: r.value for r in stats.collect()}
+    computed = spark.createDataFrame([tuple(found[c] for c in R.CHECKS)], list(R.CHECKS))
+    results = R.compare_stats(R.stats_from_query(computed, "t", "source"), stats)
+    assert {r.verdict for r in results.collect()} == {R.PASS} and results.count() == 4
+
+
+def test_source_text_equals_ours(spark):
+    """The parts of the source-side text that another engine here can run."""
+    import duckdb
+    from changeflow.functions.text import row_text
+    from changeflow.sources import postgres
+
+    data = [
+        ("a|b", 1, 2.5, True), ("a\\|b", -7, 0.1, False), ("", 2**40, -3.25, True),
+        (None, None, None, None), ("\\N", 0, 1e6, False), ("é😀", 5, 12345.678901, True),
+    ]
+    df = spark.createDataFrame(data, "s string, n long, d double, b boolean")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (s VARCHAR, n BIGINT, d DOUBLE, b BOOLEAN)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?, ?)", data)
+    theirs = con.execute(f"SELECT {postgres.row_sql(df.schema)} FROM t").fetchall()
+    assert sorted(r[0] for r in theirs) == sorted(r[0] for r in df.select(row_text(df)).collect())

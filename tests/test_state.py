@@ -76,3 +76,27 @@ def test_a_stream_needs_a_bound(spark, fresh):
     endless = spark.readStream.schema(SCHEMA).parquet(folder)
     with pytest.raises(ValueError):
         state.dedupe_replays(endless)
+
+
+def test_a_bucketed_state_is_not_shuffled(spark, fresh, plan_of):
+    from changeflow.sources.tables import save_bucketed
+
+    log = random_log(8)
+    df = spark.createDataFrame(log, SCHEMA)
+    earlier = state.latest_changes(df.where("offset < 500"), ["table", "uuid"])
+    save_bucketed(earlier, "state_now", ["table", "uuid"], 4, fresh())
+    folded = state.fold_changes(
+        spark.table("state_now"), df.where("offset >= 500"), ["table", "uuid"]
+    )
+    assert rows(state.drop_deleted(folded)) == brute_force(log)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(
+            state.fold_changes(
+                spark.table("state_now"), df.where("offset >= 500"), ["table", "uuid"]
+            )
+        )
+        assert plan.count("Exchange hashpartitioning") == 1  # the new part only
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE state_now")

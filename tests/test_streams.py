@@ -280,3 +280,17 @@ def test_event_path_has_no_shuffle_and_reads_one_topic(spark, topics, plan_of):
     both = stream.read_change_batch(spark, list(schemas.EVENT_TOPICS.values()), topics)
     decoded = decode.accepted(decode.parse_flat(both))
     assert "PartitionFilters: [isnotnull(topic" in plan_of(decoded.where("topic = 'robot_events'"))
+
+
+def test_compaction_keeps_the_rows_in_fewer_files(spark, log, topics, fresh):
+    lake, target = fresh("lake"), fresh("compacted")
+    for _ in range(2):  # the second start without its checkpoint repeats everything
+        run.finish_all(
+            [replicate.replicate_events(spark, topics, lake, fresh(), once=True, max_per_trigger=1)]
+        )
+    replicate.compact_log(spark, lake, "robot", target)
+    compacted = tables.read_table(spark, target, schemas.change_log_schema("robot"))
+    assert rows(compacted, *fixtures.ROW_FIELDS, "operation", "offset") == expected_robot(log)
+    assert len(compacted.inputFiles()) == 3 < len(
+        replicate.read_change_log(spark, lake, "robot").inputFiles()
+    )
