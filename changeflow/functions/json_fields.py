@@ -12,49 +12,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CORRUPT = "_corrupt"
 
+
 def string_fields(names: Sequence[str]) -> str:
     return ", ".join(f"`{name}` string" for name in names)
 
 
-def parse_exact(text: Column, ddl: str) -> Column:
-    """Parse into a struct; ``_corrupt`` holds the text that did not fit it."""
-    return F.from_json(
-        text, f"{ddl}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
+def parse_exact(text: str, names: Sequence[str]) -> str:
+    """Parse into a struct of strings; ``_corrupt`` holds text that does not fit."""
+    return (
+        f"from_json({text}, '{string_fields(names)}, {CORRUPT} string', "
+        f"map('columnNameOfCorruptRecord', '{CORRUPT}'))"
     )
 
 
-def has_plain_keys(text: Column) -> Column:
+def has_plain_keys(text: str) -> str:
     """True for one JSON object whose keys are lower case already.
 
     Listing the keys is much cheaper than a regular expression over the text,
     and sees them unescaped.
     """
-    keys = F.array_join(F.json_object_keys(text), " ")
-    return keys == F.lower(keys)
+    keys = f"array_join(json_object_keys({text}), ' ')"
+    return f"{keys} = lower({keys})"
 
 
-def folded_entries(text: Column) -> Column:
+def folded_entries(text: str) -> str:
     """The object's entries with lower-case keys; NULL if it is not an object.
 
     Entries stay an array: building a map again would fail on two keys that
     differ only in case unless the session sets a de-duplication policy.
     """
-    entries = F.map_entries(F.from_json(text, "map<string,string>"))
-    return F.transform(
-        entries,
-        lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
-    )
+    entries = f"map_entries(from_json({text}, 'map<string,string>'))"
+    return f"transform({entries}, e -> struct(lower(e.key) AS key, e.value AS value))"
 
 
-def entry_value(entries: Column, name: str) -> Column:
+def entry_value(entries: str, name: str) -> str:
     """Value of the last entry with this key, NULL when there is none."""
-    matching = F.filter(entries, lambda e: e["key"] == F.lit(name))
-    return F.try_element_at(matching, F.lit(-1))["value"]
+    return f"try_element_at(filter({entries}, e -> e.key = '{name}'), -1).value"
 
 
 def read_object(df: DataFrame, text: str, names: Sequence[str], into: str) -> DataFrame:
@@ -63,18 +61,18 @@ def read_object(df: DataFrame, text: str, names: Sequence[str], into: str) -> Da
     Each step is a projection of its own, so that nothing is parsed twice.
     """
     exact, fast, entries = f"_{into}_exact", f"_{into}_fast", f"_{into}_entries"
-    raw = F.col(text)
-    parsed = df.select(
-        "*", parse_exact(raw, string_fields(names)).alias(exact), has_plain_keys(raw).alias(fast)
+    fits = f"{exact} IS NOT NULL AND {exact}.{CORRUPT} IS NULL"
+    parsed = (
+        df.selectExpr(
+            "*", f"{parse_exact(text, names)} AS {exact}", f"{has_plain_keys(text)} AS _plain"
+        )
+        .selectExpr("*", f"coalesce(_plain AND {fits}, false) AS {fast}")
+        .selectExpr("*", f"CASE WHEN NOT {fast} THEN {folded_entries(text)} END AS {entries}")
     )
-    fits = F.col(exact).isNotNull() & F.col(f"{exact}.{CORRUPT}").isNull()
-    parsed = parsed.withColumn(fast, F.coalesce(F.col(fast) & fits, F.lit(False)))
-    parsed = parsed.withColumn(entries, F.when(~F.col(fast), folded_entries(raw)))
-    fields = [
-        F.when(F.col(fast), F.col(f"{exact}.`{name}`"))
-        .otherwise(entry_value(F.col(entries), name))
-        .alias(name)
-        for name in names
+    fields = [f"({fast} OR {entries} IS NOT NULL) AS is_object"]
+    fields += [
+        f"CASE WHEN {fast} THEN {exact}.`{n}` ELSE {entry_value(entries, n)} END AS `{n}`"
+        for n in names
     ]
-    is_object = F.col(fast) | F.col(entries).isNotNull()
-    return parsed.select(*df.columns, F.struct(is_object.alias("is_object"), *fields).alias(into))
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    return parsed.select(*kept, F.expr(f"struct({', '.join(fields)})").alias(into))

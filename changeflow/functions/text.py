@@ -1,8 +1,11 @@
-"""Canonical text of a row, and digests over it.
+"""Canonical text of a row, and digests over it, as Spark SQL expressions.
 
 The text must come out the same in every engine that computes it, so each type
 has one fixed format, NULL has a mark of its own, and the separator is escaped
 inside values: two different rows never share a text.
+
+Expressions are built as SQL text and handed over once: a row has many small
+parts, and building each as a column object costs a call to the JVM.
 """
 
 from __future__ import annotations
@@ -20,67 +23,80 @@ JSON_TIMESTAMP_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 # ------------------------------------------------------------------------------
 
-_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
+def quoted(name: str) -> str:
+    """A column name as SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _escaped(text: str) -> str:
+    # Raw literals: they read the same whatever the session says of escapes.
+    return rf"replace(replace({text}, r'\', r'\\'), '{SEPARATOR}', r'\{SEPARATOR}')"
 
-def timestamp_text(column: Column, dtype: T.DataType) -> Column:
+
+def _time_text(value: str, dtype: T.DataType) -> str:
     """``yyyy-MM-dd HH:mm:ss.SSSSSS``; instants are written in UTC.
 
     Neither form passes through the session zone.
     """
     if isinstance(dtype, T.TimestampType):
-        column = F.timestamp_add("MICROSECOND", F.unix_micros(column), F.expr(_EPOCH))
-    shown = column.cast("string")
-    fraction = F.rpad(F.substring(shown, 21, 6), 6, "0")
-    return F.concat(F.substring(shown, 1, 19), F.lit("."), fraction)
+        epoch = "timestamp_ntz'1970-01-01 00:00:00'"
+        value = f"timestampadd(MICROSECOND, unix_micros({value}), {epoch})"
+    shown = f"cast({value} AS string)"
+    return f"concat(substring({shown}, 1, 19), '.', rpad(substring({shown}, 21, 6), 6, '0'))"
 
 
-def value_text(column: Column, dtype: T.DataType, scale: int = 6) -> Column:
-    """Text of one value, NULL kept as NULL.
+def value_text(name: str, dtype: T.DataType, scale: int = 6) -> str:
+    """Text of one column's value, NULL kept as NULL.
 
     Doubles are rounded to ``scale`` decimals because engines print them
-    differently; use :func:`row_hash` where exact bits must be compared and
-    Spark reads both sides.
+    differently; use ``row_hash`` where exact bits must be compared and Spark
+    reads both sides.
     """
+    value = quoted(name)
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
-        escaped = F.replace(column, F.lit("\\"), F.lit("\\\\"))
-        return F.replace(escaped, F.lit(SEPARATOR), F.lit("\\" + SEPARATOR))
+        return _escaped(value)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return timestamp_text(column, dtype)
+        return _time_text(value, dtype)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return column.cast(T.DecimalType(38, scale)).cast("string")
+        return f"cast(cast({value} AS decimal(38, {scale})) AS string)"
     if isinstance(dtype, T.BinaryType):
-        return F.hex(column)
+        return f"hex({value})"
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
-        shown = F.to_json(column, {"ignoreNullFields": "false"})
-        return value_text(shown, T.StringType(), scale)
-    return column.cast("string")
+        return _escaped(f"to_json({value}, map('ignoreNullFields', 'false'))")
+    return f"cast({value} AS string)"
 
 
-def row_text(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6) -> Column:
+def row_sql(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6) -> str:
     """The row as one text, columns in the given (default: table) order."""
-    names = list(columns) if columns else df.columns
+    schema = df.schema
     parts = [
-        F.coalesce(value_text(F.col(f"`{name}`"), df.schema[name].dataType, scale), F.lit(NULL_MARK))
-        for name in names
+        f"coalesce({value_text(name, schema[name].dataType, scale)}, r'{NULL_MARK}')"
+        for name in columns or schema.fieldNames()
     ]
-    return F.concat_ws(SEPARATOR, *parts)
+    return f"concat_ws('{SEPARATOR}', {', '.join(parts)})"
 
 
-def digest_number(text: Column) -> Column:
+def row_text(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6) -> Column:
+    return F.expr(row_sql(df, columns, scale))
+
+
+def digest_number(text: str) -> str:
     """The first eight hex digits of the MD5 as BIGINT (0 to 2**32 - 1)."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return f"cast(conv(substring(md5({text}), 1, 8), 16, 10) AS bigint)"
 
 
-def exact_sum(number: Column) -> Column:
+def exact_sum(number: str) -> str:
     """Sum of 32-bit numbers as decimal text, exact far beyond BIGINT.
 
     A BIGINT sum of 32-bit digests overflows after 2**31 rows.  The two 16-bit
     halves are summed apart, which holds for 2**47 rows and keeps the
     aggregation buffer in fixed-width longs, and are joined once at the end.
     """
-    wide = T.DecimalType(38, 0)
-    high = F.sum(F.shiftright(number, 16)).cast(wide)
-    low = F.sum(number.bitwiseAND(F.lit(0xFFFF))).cast(wide)
-    joined = (high * F.lit(65536).cast(T.DecimalType(6, 0)) + low).cast(wide)
-    return F.coalesce(joined, F.lit(0).cast(wide)).cast("string")
+    high = f"cast(coalesce(sum(shiftright({number}, 16)), 0) AS decimal(38, 0))"
+    low = f"cast(coalesce(sum({number} & 65535), 0) AS decimal(38, 0))"
+    return f"cast(cast({high} * cast(65536 AS decimal(6, 0)) + {low} AS decimal(38, 0)) AS string)"
+
+
+def exact_xor(number: str) -> str:
+    return f"coalesce(bit_xor({number}), 0)"

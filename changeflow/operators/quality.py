@@ -11,7 +11,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.text import digest_number, exact_sum, row_text
+from changeflow.functions.text import (
+    digest_number,
+    exact_sum,
+    exact_xor,
+    quoted,
+    row_sql,
+    row_text,
+)
 
 SAMPLE_ROWS = 100  # fixed value: rows in a partial checksum
 
@@ -21,11 +28,11 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 
 
-def checksum_columns(text: Column) -> list[Column]:
+def checksum_columns(text: str) -> list[Column]:
     number = digest_number(text)
     return [
-        exact_sum(number).alias("checksum_sum"),
-        F.coalesce(F.bit_xor(number), F.lit(0).cast("bigint")).alias("checksum_xor"),
+        F.expr(exact_sum(number)).alias("checksum_sum"),
+        F.expr(exact_xor(number)).alias("checksum_xor"),
     ]
 
 
@@ -34,12 +41,12 @@ def key_checksum(df: DataFrame, key: str = "uuid") -> DataFrame:
 
     The sum notices repeated keys, which cancel in the xor; reads one column.
     """
-    return df.agg(F.count("*").alias("row_count"), *checksum_columns(row_text(df, [key])))
+    return df.agg(F.count("*").alias("row_count"), *checksum_columns(row_sql(df, [key])))
 
 
 def table_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The same over whole rows."""
-    return df.agg(F.count("*").alias("row_count"), *checksum_columns(row_text(df, columns)))
+    return df.agg(F.count("*").alias("row_count"), *checksum_columns(row_sql(df, columns)))
 
 
 def topk_by_key(
@@ -82,26 +89,23 @@ def row_hash(df: DataFrame, columns: Sequence[str] | None = None, portable: bool
     return df.withColumn("row_hash", value)
 
 
-def _per_column(df: DataFrame, conditions: Mapping[str, Column], name: str) -> DataFrame:
-    """One pass for all columns, one output row per column."""
-    counts = df.agg(*[F.count_if(c).alias(f"_{i}") for i, c in enumerate(conditions.values())])
-    rows = F.array(
-        *[
-            F.struct(F.lit(column).alias("column"), F.col(f"_{i}").alias(name))
-            for i, column in enumerate(conditions)
-        ]
-    )
-    return counts.select(F.inline(rows))
+def _per_column(df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
+    """Count of rows per condition: one pass, one output row per column."""
+    counts = df.agg(*[F.expr(f"count_if({c})").alias(f"_{i}") for i, c in enumerate(conditions.values())])
+    names = F.array(*[F.lit(column) for column in conditions])
+    numbers = F.array(*[f"_{i}" for i in range(len(conditions))])
+    pairs = F.arrays_zip(names.alias("column"), numbers.alias("violations"))
+    return counts.select(F.inline(pairs)).toDF("column", "violations")
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs per required column."""
-    return _per_column(df, {c: F.col(c).isNull() for c in columns}, "violations")
+    return _per_column(df, {c: f"{quoted(c)} IS NULL" for c in columns})
 
 
 def check_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """Values longer than the limit, per column."""
-    return _per_column(df, {c: F.length(c) > n for c, n in limits.items()}, "violations")
+    return _per_column(df, {c: f"length({quoted(c)}) > {n}" for c, n in limits.items()})
 
 
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.functions.text import row_text
-from changeflow.operators.quality import SAMPLE_ROWS, checksum_columns, partial_checksum
+from changeflow.functions.text import digest_number, exact_sum, exact_xor, row_sql
+from changeflow.operators.quality import SAMPLE_ROWS, partial_checksum
 
 # Checks.
 ROW_COUNT = "row_count"
@@ -44,35 +44,28 @@ def _missing(
 
 
 def _tall(stats: DataFrame, table: Column, side: str, values: Mapping[str, str]) -> DataFrame:
-    rows = F.array(
-        *[
-            F.struct(
-                table.alias("table"),
-                F.lit(check).alias("check_name"),
-                F.lit(side).alias("side"),
-                F.col(column).cast("string").alias("value"),
-                F.lit(_OK).alias("status"),
-            )
-            for check, column in values.items()
-        ]
-    )
-    return stats.select(F.inline(rows))
+    """One row per check; ``values`` maps the check to an expression."""
+    pairs = ", ".join(f"'{check}', cast({value} AS string)" for check, value in values.items())
+    return stats.select(
+        table.alias("table"),
+        F.expr(f"stack({len(values)}, {pairs}) AS (check_name, value)"),
+        F.lit(side).alias("side"),
+        F.lit(_OK).alias("status"),
+    ).select("table", "check_name", "side", "value", "status")
 
 
 def _aggregates(
     df: DataFrame, key: str, columns: Sequence[str], checks: Sequence[str]
-) -> tuple[list[Column], dict[str, str]]:
-    """Aggregates of one pass, and the column that holds each check's value."""
-    aggregates, values = [], {}
+) -> dict[str, Column]:
+    """The checks of one pass over the rows."""
+    found = {}
     if ROW_COUNT in checks:
-        aggregates.append(F.count("*").alias("n"))
-        values[ROW_COUNT] = "n"
+        found[ROW_COUNT] = F.expr("count(*)")
     for check, names in ((KEY_CHECKSUM, [key]), (ROW_CHECKSUM, columns)):
         if check in checks:
-            total, xor = checksum_columns(row_text(df, names))
-            aggregates.append(F.concat_ws(":", total, xor).alias(check))
-            values[check] = check
-    return aggregates, values
+            number = digest_number(row_sql(df, names))
+            found[check] = F.expr(f"concat_ws(':', {exact_sum(number)}, {exact_xor(number)})")
+    return {check: column.alias(check) for check, column in found.items()}
 
 
 def table_stats(
@@ -86,15 +79,14 @@ def table_stats(
 ) -> DataFrame:
     """The tall rows of one side.  Count and both checksums share one scan."""
     columns = list(columns or df.columns)
-    aggregates, values = _aggregates(df, key, columns, checks)
+    found = _aggregates(df, key, columns, checks)
     parts = []
-    if aggregates:
-        parts.append(_tall(df.agg(*aggregates), F.lit(table), side, values))
+    if found:
+        parts.append(_tall(df.agg(*found.values()), F.lit(table), side, {c: c for c in found}))
     if SAMPLE_CHECKSUM in checks:
         sampled = partial_checksum(df, sample, key, columns)
         # An empty table has a checksum too: that of no rows.
-        sampled = sampled.select(F.coalesce("sample_checksum", F.lit("")).alias("sample_checksum"))
-        values = {SAMPLE_CHECKSUM: "sample_checksum"}
+        values = {SAMPLE_CHECKSUM: "coalesce(sample_checksum, '')"}
         parts.append(_tall(sampled, F.lit(table), side, values))
     return reduce(DataFrame.unionByName, parts)
 
@@ -115,8 +107,9 @@ def grouped_stats(
     if SAMPLE_CHECKSUM in checks:
         raise ValueError("a sample is taken table by table: use table_stats")
     columns = list(columns or [c for c in df.columns if c != by])
-    aggregates, values = _aggregates(df, key, columns, checks)
-    return _tall(df.groupBy(by).agg(*aggregates), F.col(by), side, values)
+    found = _aggregates(df, key, columns, checks)
+    grouped = df.groupBy(by).agg(*found.values())
+    return _tall(grouped, F.col(by), side, {c: c for c in found})
 
 
 def stats_from_query(result: DataFrame, table: str, side: str) -> DataFrame:
