@@ -29,9 +29,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+# A backslash as SQL: how a literal spells one depends on a session setting.
+_BACKSLASH = "char(92)"
+_NULL = f"concat({_BACKSLASH}, '{NULL_MARK[1:]}')"
+
+
 def _escaped(text: str) -> str:
-    # Raw literals: they read the same whatever the session says of escapes.
-    return rf"replace(replace({text}, r'\', r'\\'), '{SEPARATOR}', r'\{SEPARATOR}')"
+    doubled = f"replace({text}, {_BACKSLASH}, repeat({_BACKSLASH}, 2))"
+    return f"replace({doubled}, '{SEPARATOR}', concat({_BACKSLASH}, '{SEPARATOR}'))"
 
 
 def _time_text(value: str, dtype: T.DataType) -> str:
@@ -71,7 +76,7 @@ def row_sql(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6)
     """The row as one text, columns in the given (default: table) order."""
     schema = df.schema
     parts = [
-        f"coalesce({value_text(name, schema[name].dataType, scale)}, r'{NULL_MARK}')"
+        f"coalesce({value_text(name, schema[name].dataType, scale)}, {_NULL})"
         for name in columns or schema.fieldNames()
     ]
     return f"concat_ws('{SEPARATOR}', {', '.join(parts)})"

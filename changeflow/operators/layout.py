@@ -50,16 +50,18 @@ def date_range_filter(
     )
 
 
-def spread(df: DataFrame, columns: Sequence[str], files: int, key: str = "uuid") -> DataFrame:
+def spread(
+    df: DataFrame, columns: Sequence[str], files: int, by: Sequence[str] = ("uuid", "offset")
+) -> DataFrame:
     """Gather the rows of one partition value into at most ``files`` tasks.
 
     Without it, every task writes a file into every partition value it sees.
     Hashing the partition columns alone would give a hot value to one task, so
-    its rows are split ``files`` ways by their key and their own content.
+    its rows are split ``files`` ways by ``by`` (those present, or the whole
+    row): content, so that a task run again makes the same split.
     """
-    salt = F.pmod(F.xxhash64(*([key] if key in df.columns else df.columns)), F.lit(files))
-    if key in df.columns and "offset" in df.columns:
-        salt = F.pmod(F.xxhash64(key, "offset"), F.lit(files))
+    present = [c for c in by if c in df.columns] or df.columns
+    salt = F.pmod(F.xxhash64(*present), F.lit(files))
     return df.repartition(*[F.col(c) for c in columns], salt)
 
 

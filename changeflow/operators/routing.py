@@ -37,11 +37,10 @@ def route_by_channel_or_table(
     channel: Column, table: Column, topics: Mapping[str, str] = ROW_TOPICS
 ) -> Column:
     """Topic named by channel or table, robot tested first; NULL for neither."""
-    route = None
-    for name in (ROBOT, TELEOP):
-        named = (channel == CHANNELS[name]) | (table == name)
-        route = (F if route is None else route).when(named, topics[name])
-    return route.otherwise(F.lit(None).cast("string"))
+    def named(name: str) -> Column:
+        return (channel == CHANNELS[name]) | (table == name)
+
+    return F.when(named(ROBOT), topics[ROBOT]).when(named(TELEOP), topics[TELEOP])
 
 
 def route_default_teleop(table: Column, topics: Mapping[str, str] = EVENT_TOPICS) -> Column:

@@ -39,6 +39,12 @@ def test_different_rows_have_different_texts(spark):
     df = spark.createDataFrame(data, "a string, b string")
     texts = [r[0] for r in df.select(row_text(df)).collect()]
     assert len(set(texts)) == len(data)
+    assert texts[2] == "a\\\\\\|b|c" and texts[4] == "\\N|x" and texts[6] == "\\\\N|x"
+    spark.conf.set("spark.sql.parser.escapedStringLiterals", "true")
+    try:
+        assert [r[0] for r in df.select(row_text(df)).collect()] == texts
+    finally:
+        spark.conf.unset("spark.sql.parser.escapedStringLiterals")
 
 
 def test_row_text_formats(spark):
