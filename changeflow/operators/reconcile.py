@@ -7,16 +7,20 @@ checksums of any size compare the same way.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.text import digest_number, exact_sum, exact_xor, row_sql
 from changeflow.operators.quality import SAMPLE_ROWS, partial_checksum
 
+logger = logging.getLogger(__name__)
+
 # Checks.
 ROW_COUNT = "row_count"
 KEY_CHECKSUM = "key_checksum"
@@ -158,7 +162,8 @@ def side_stats(
     for table, opened in tables.items():
         try:
             df = opened() if callable(opened) else opened
-        except AnalysisException:
+        except (PySparkException, Py4JError) as error:
+            logger.warning("the %s of table %s cannot be read: %s", side, table, error)
             df = None
         if df is None:
             parts.append(_missing(spark, table, side, checks, _UNREADABLE))

@@ -222,16 +222,19 @@ def replicated_table(
 
 def compact_log(
     spark: SparkSession, root: str, table: str, target: str, fmt: str = "parquet",
-    upto: int | None = None,
+    upto: int | None = None, dedupe: bool = True,
 ) -> None:
     """Rewrite a landed log into few well-sized files under another path.
 
     Every micro-batch leaves files of its own; this gathers them by robot and
-    removes what several deliveries left behind.  ``upto`` takes the batches up
-    to that id.  The landed log itself is not touched.
+    removes what several checkpoints landed twice.  ``upto`` takes the batches
+    up to that id and prunes the other folders.  A log of one checkpoint has no
+    copies: ``dedupe=False`` saves that shuffle.  The landed log is not touched.
     """
     log = read_change_log(spark, root, table, fmt)
     if upto is not None:
         log = log.where(F.col("batch_id") <= upto)
-    rows = dedupe_replays(log.select(*change_log_schema(table).fieldNames()))
+    rows = log.select(*change_log_schema(table).fieldNames())
+    if dedupe:
+        rows = dedupe_replays(rows)
     write_table(rows, target, ["robot_id"], fmt, mode="overwrite")

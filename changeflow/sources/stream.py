@@ -28,6 +28,7 @@ def kafka_options(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = True,
     max_records: int | None = None,
+    min_partitions: int | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source.
@@ -35,7 +36,9 @@ def kafka_options(
     The default starts at the earliest record: changes made before the first
     start belong to the copy.  A checkpoint overrides it on later starts.
     ``fail_on_data_loss=False`` goes on when the broker no longer has some
-    offsets; reconciliation then shows the gap.
+    offsets; reconciliation then shows the gap.  ``min_partitions`` splits the
+    offset ranges into at least that many tasks: a partition that holds much of
+    the topic is then read by several.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -45,6 +48,8 @@ def kafka_options(
     }
     if max_records:
         options["maxOffsetsPerTrigger"] = str(max_records)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     options.update(extra or {})
     return options
 
@@ -72,6 +77,7 @@ def read_change_stream(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = True,
     max_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Subscribe to one topic or several; ``topic`` stays a column.
@@ -83,7 +89,8 @@ def read_change_stream(
     """
     if fmt == KAFKA:
         options = kafka_options(
-            source, topics, starting_offsets, fail_on_data_loss, max_per_trigger, extra
+            source, topics, starting_offsets, fail_on_data_loss, max_per_trigger,
+            min_partitions, extra,
         )
         return spark.readStream.format("kafka").options(**options).load()
     options = {**file_options(source, fail_on_data_loss, max_per_trigger), **(extra or {})}

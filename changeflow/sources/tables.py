@@ -140,14 +140,17 @@ def write_table(
 
 def save_bucketed(
     df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None,
-    fmt: str = "parquet",
+    fmt: str = "parquet", arranged: bool = False,
 ) -> None:
     """Write a table bucketed and sorted by its keys.
 
     Later joins and aggregations on the keys read it without a shuffle.  The
-    rows are arranged by bucket first, so each bucket is one file.
+    rows are brought together by bucket first, so each bucket is one file.
+    ``arranged`` leaves that shuffle out, for rows that come from a join on the
+    keys of a table with the same buckets (``operators.state.fold_changes``).
     """
-    writer = df.repartition(buckets, *keys).write.mode("overwrite").format(fmt)
+    rows = df if arranged else df.repartition(buckets, *keys)
+    writer = rows.write.mode("overwrite").format(fmt)
     if path:
         writer = writer.option("path", path)
     writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)

@@ -76,6 +76,8 @@ def test_unreadable_is_skipped_and_a_missing_column_is_an_error(spark, source, f
     missing = fresh("nothing")
     assert verdicts(spark, source, lambda: spark.read.parquet(missing)) == all_of(R.SKIPPED)
     assert verdicts(spark, None, source) == all_of(R.SKIPPED)
+    no_database = spark.read.format("jdbc").option("url", "jdbc:none:x").option("dbtable", "t")
+    assert verdicts(spark, no_database.load, source) == all_of(R.SKIPPED)
     assert verdicts(spark, source, source.drop("event_id"), columns={"t": FIELDS}) == {
         R.ROW_COUNT: R.PASS, R.KEY_CHECKSUM: R.PASS, R.ROW_CHECKSUM: R.ERROR,
         R.SAMPLE_CHECKSUM: R.ERROR,

@@ -16,7 +16,8 @@ def test_kafka_options():
         "startingOffsets": "earliest",
         "failOnDataLoss": "true",
     }
-    loose = stream.kafka_options("h", "a", "latest", False, 1000, {"groupIdPrefix": "x"})
+    loose = stream.kafka_options("h", "a", "latest", False, 1000, 64, {"groupIdPrefix": "x"})
+    assert loose["minPartitions"] == "64"
     assert loose["startingOffsets"] == "latest" and loose["failOnDataLoss"] == "false"
     assert loose["maxOffsetsPerTrigger"] == "1000" and loose["groupIdPrefix"] == "x"
 

@@ -97,6 +97,11 @@ def test_a_bucketed_state_is_not_shuffled(spark, fresh, plan_of):
             )
         )
         assert plan.count("Exchange hashpartitioning") == 1  # the new part only
+        save_bucketed(folded, "state_next", ["table", "uuid"], 4, fresh(), arranged=True)
+        following = spark.table("state_next")
+        assert rows(state.drop_deleted(following)) == brute_force(log)
+        assert len(following.inputFiles()) == 4  # one file per bucket without another shuffle
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE state_now")
+        spark.sql("DROP TABLE IF EXISTS state_next")
