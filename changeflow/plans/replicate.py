@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,14 +98,18 @@ def replicate_events(
     max_per_trigger: int | None = None,
     files: int | None = None,
     topics: Sequence[str] = tuple(EVENT_TOPICS.values()),
+    source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Flat change events to change-log tables by robot, plus the quarantine.
 
+    ``source_options`` go to the stream reader (security settings,
+    ``minPartitions`` to split a large topic partition over several tasks).
+
     One query reads both topics once.  Lands ``root/robot``, ``root/teleop``
     and ``root/quarantine``.
     """
     records = read_change_stream(
-        spark, topics, source, source_fmt, max_per_trigger=max_per_trigger
+        spark, topics, source, source_fmt, max_per_trigger=max_per_trigger, extra=source_options
     )
     decoded = decode_changes(records, FLAT)
     targets = [Target(f"{root}/{t}", _table_rows(t), ("robot_id",), files) for t in TABLES]
@@ -124,10 +128,12 @@ def replicate_shared_topic(
     once: bool = False,
     max_per_trigger: int | None = None,
     files: int | None = None,
+    source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Nested events of both tables on one topic, split by teleoperator."""
     records = read_change_stream(
-        spark, SHARED_TOPIC, source, source_fmt, max_per_trigger=max_per_trigger
+        spark, SHARED_TOPIC, source, source_fmt, max_per_trigger=max_per_trigger,
+        extra=source_options,
     )
     decoded = decode_changes(records, NESTED)
 
@@ -154,10 +160,12 @@ def replicate_rows_by_date(
     once: bool = False,
     max_per_trigger: int | None = None,
     files: int | None = None,
+    source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Bare rows of one table to a table partitioned by year, month and day."""
     records = read_change_stream(
-        spark, ROW_TOPICS[table], source, source_fmt, max_per_trigger=max_per_trigger
+        spark, ROW_TOPICS[table], source, source_fmt, max_per_trigger=max_per_trigger,
+        extra=source_options,
     )
     rows = project_to_table(
         accepted(decode_changes(records, BARE)), table_schema(table, zoned=True),
@@ -182,12 +190,15 @@ def replicate_metrics(
     every: str | None = METRICS_TRIGGER,
     once: bool = False,
     max_per_trigger: int | None = None,
+    source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Metrics samples to a table partitioned by host, or by day.
 
     Never by a measured value: that would make a folder per reading.
     """
-    records = read_change_stream(spark, topic, source, source_fmt, max_per_trigger=max_per_trigger)
+    records = read_change_stream(
+        spark, topic, source, source_fmt, max_per_trigger=max_per_trigger, extra=source_options
+    )
     samples = project_to_table(accepted(parse_metrics(records, kind)), METRICS[kind])
     host = {"host": "hostname", "broker": "broker_id"}.get(kind)
     if by_date or host is None:
