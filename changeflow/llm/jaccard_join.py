@@ -389,7 +389,7 @@ def jaccard_components(
     linked = written(same.unionByName(_verified(named, first, k, percent)), "star-links")
     labels = connected_components(linked)
 
-    members = shared.select("key", "id").distinct().join(labels, "id", "left").select(
+    members = shared.select("key", "id").join(labels, "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("comp")
     )
     torn = members.groupBy("key").agg(

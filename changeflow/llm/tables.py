@@ -20,11 +20,23 @@ def lower_az(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+#: Lets Spark remove a query's shuffle files when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The table, written to the shared folder and read back: computed once, lineage cut."""
+    """The table, written to the shared folder and read back: computed once, lineage cut.
+
+    Nothing reads the shuffle files of the write again, so they go when it ends.
+    """
     spark = df.sparkSession
     path = work_folder(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
