@@ -7,13 +7,17 @@ shingles, so of d + 1 + s blocks of a sketch at least s + 1 are the same.
 
 1. Sizes are put in bands.  A set is sketched for its own band and for those
    that a smaller partner may be in, each with the band's number of blocks.  The
-   blocks are keys; blocks without a bit set are left out where s covers them.
+   blocks are keys.  A set may do without s of its keys, as one of the s + 1 that
+   a link shares is left: first those without a bit set, then those that most
+   sets have.  All sets rank keys alike, so the rarest of the shared keys stays
+   on both sides, and passages that many documents share bring no pairs.
 2. Sets that share a key form a star around the smallest id.  Of the stars of a
    set the one with most shared keys is verified on the whole texts, and what
    is linked is put in components.  Thousands of near copies cost one pair each.
 3. Only keys whose members are still in different components are left.  Their
-   pairs are compared by whole sketches, in parts of bounded size, and those
-   whose sketches allow a link are verified too.
+   members are compared by whole sketches, in parts of bounded size.  First each
+   set is verified against its nearest one in another component, then, where
+   components still differ, all pairs whose sketches allow a link.
 
 No link between different components is lost, so the components are exact.
 """
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.components import connected_components
@@ -36,6 +40,10 @@ from changeflow.llm.words import distinct_shingles, mix
 BAND = 1.5
 #: Members of a key that are compared in one task at once.
 PART = 4096
+#: Members beyond which keys count as equally frequent.
+MANY = 200_000
+#: Pairs whose sketches are compared at once.
+PAIRS = 1_000_000
 
 
 class Bands:
@@ -61,7 +69,7 @@ class Bands:
     def blocks(self, band: int) -> tuple[int, int]:
         """Blocks of a sketch, and how many of the blocks that agree are to spare."""
         d = self.differences(band)
-        spare = max(1, d // 16) if d else 0
+        spare = max(1, (d + 2) // 4) if d else 0
         return d + 1 + spare, spare
 
     def bands_of(self, n: int) -> list[int]:
@@ -99,7 +107,8 @@ def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
     """The rows (kind, id, key, n, sum, whole) of all documents, in one pass.
 
     kind 0: one per document with its size, a digest of its set and its whole
-    sketch.  kind 1: a key of a document.  A set that a task has seen already has
+    sketch.  kind 1: a key of a document; n has its band, and in the low 40 bits
+    how many keys it may do without there.  A set that a task has seen already has
     no keys again; its digest tells that it is equal.
     """
 
@@ -108,7 +117,7 @@ def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             own_ids, sizes, sums, others, wholes = [], [], [], [], []
-            key_ids, keys, held = [], [], 0
+            key_ids, keys, rooms, held = [], [], [], 0
             for i, own in zip(ids, distinct_shingles(batch.column(1), k)):
                 n = len(own)
                 first = int(mix(own + np.uint64(1)).sum(dtype=np.uint64)) if n else 0
@@ -127,16 +136,18 @@ def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
                     number = np.arange(blocks, dtype=np.uint64) + np.uint64(band << 40)
                     found = mix(bits ^ mix(number + np.uint64(77)))
                     empty = bits == 0
-                    if int(empty.sum()) <= spare:
+                    room = spare - int(empty.sum())
+                    if room >= 0:
                         found = found[~empty]
                     keys.append(found)
                     key_ids.append(np.full(len(found), i, dtype=np.int64))
+                    rooms.append(np.full(len(found), band << 40 | (room if room >= 0 else spare), dtype=np.int64))
                     held += len(found)
                 if held > 500_000:
-                    yield _keys_batch(key_ids, keys)
-                    key_ids, keys, held = [], [], 0
+                    yield _keys_batch(key_ids, keys, rooms)
+                    key_ids, keys, rooms, held = [], [], [], 0
             if keys:
-                yield _keys_batch(key_ids, keys)
+                yield _keys_batch(key_ids, keys, rooms)
             none = pa.nulls(len(own_ids), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -158,127 +169,168 @@ def _signed(numbers: list[int]) -> pa.Array:
     return pa.array(np.array(numbers, dtype=np.uint64).view(np.int64))
 
 
-def _keys_batch(ids: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
+def _keys_batch(ids: list[np.ndarray], keys: list[np.ndarray], rooms: list[np.ndarray]) -> pa.RecordBatch:
     key = np.concatenate(keys).view(np.int64)
     none = pa.nulls(len(key), pa.int64())
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.ones(len(key), np.int8)), pa.array(np.concatenate(ids)), pa.array(key),
-            none, none, none, pa.nulls(len(key), pa.binary()),
+            pa.array(np.concatenate(rooms)), none, none, pa.nulls(len(key), pa.binary()),
         ],
         names=NAMES,
     )
 
 
 def _shared(keys: DataFrame) -> DataFrame:
-    """The rows (key, id, hub) of keys with two ids at least; the hub is the smallest id.
+    """The rows (key, id, hub, room, members) of keys with two ids at least.
 
-    Rows come in order of key and id, so a key of any length passes through.
+    The hub is the smallest id.  Rows come in order of key and id; of a key with
+    more than ``MANY`` rows the first are sent on before the last have come, and
+    its members count as ``MANY``, as for every such key.
     """
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, hub, last_id, open_ = None, 0, 0, False
+        waiting: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * 3
+        long_key, long_hub = None, 0
+
+        def sent(key: np.ndarray, id_: np.ndarray, room: np.ndarray) -> pa.RecordBatch:
+            new = np.concatenate([[True], (key[1:] != key[:-1]) | (id_[1:] != id_[:-1])])
+            key, id_, room = key[new], id_[new], room[new]
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            sizes = np.diff(np.append(starts, len(key)))
+            hub, members = np.repeat(id_[starts], sizes), np.minimum(np.repeat(sizes, sizes), MANY)
+            if long_key is not None and key[0] == long_key:
+                hub[: sizes[0]], members[: sizes[0]] = long_hub, MANY
+            several = members > 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x[several]) for x in (key, id_, hub, room, members)],
+                names=["key", "id", "hub", "room", "members"],
+            )
+
         for batch in batches:
-            key, id_ = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            waiting = [np.concatenate([w, batch.column(i).to_numpy()]) for i, w in enumerate(waiting)]
+            key = waiting[0]
             if not len(key):
                 continue
-            first = np.empty(len(key), dtype=bool)
-            first[1:] = key[1:] != key[:-1]
-            first[0] = key[0] != last_key
-            new = np.empty(len(key), dtype=bool)
-            new[1:] = first[1:] | (id_[1:] != id_[:-1])
-            new[0] = first[0] or id_[0] != last_id
-            starts = np.flatnonzero(first)
-            hubs = np.empty(len(key), dtype=np.int64)
-            hubs[: starts[0] if len(starts) else len(key)] = hub
-            if len(starts):
-                hubs[starts[0] :] = np.repeat(id_[starts], np.diff(np.append(starts, len(key))))
-            # The hub's own row comes with the first other row of its key.
-            other = new & (id_ != hubs)
-            second = other.copy()
-            where = np.flatnonzero(other)
-            if len(where):
-                again = key[where[1:]] == key[where[:-1]]
-                second[where[1:][again]] = False
-                if open_ and key[where[0]] == last_key:
-                    second[where[0]] = False
-            out_key = np.concatenate([key[other], key[second]])
-            out_id = np.concatenate([id_[other], hubs[second]])
-            out_hub = np.concatenate([hubs[other], hubs[second]])
-            if len(where) and key[where[-1]] == key[-1]:
-                open_ = True
-            elif len(starts):
-                open_ = False
-            last_key, hub, last_id = key[-1], hubs[-1], id_[-1]
-            if len(out_key):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_key), pa.array(out_id), pa.array(out_hub)], names=["key", "id", "hub"]
-                )
+            last = int(np.searchsorted(key, key[-1]))
+            if len(key) - last > MANY:
+                if last:
+                    yield sent(*[w[:last] for w in waiting])
+                if key[-1] != long_key:
+                    long_key, long_hub = key[-1], waiting[1][last]
+                yield sent(*[w[last:] for w in waiting])
+                waiting = [w[:0] for w in waiting]
+            elif last:
+                yield sent(*[w[:last] for w in waiting])
+                waiting = [w[last:] for w in waiting]
+        if len(waiting[0]):
+            yield sent(*waiting)
 
     ordered = keys.repartition("key").sortWithinPartitions("key", "id")
-    return ordered.mapInArrow(stars, "key bigint, id bigint, hub bigint")
-
-
-def _candidates(mixed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one group of ``mixed`` in different components whose sketches allow a link."""
-
-    def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        table = pa.Table.from_batches(rows).sort_by("n")
-        ids, comp, n = (table.column(c).to_numpy() for c in ("id", "comp", "n"))
-        raw = table.column("whole").to_pylist()
-        sides = table.column("side").to_numpy()
-        left, right = [], []
-        for words in sorted({len(w) for w in raw}):
-            # All sketches folded to this size; those of smaller sets have their turn first.
-            mine = np.flatnonzero([len(w) == words for w in raw])
-            above = np.flatnonzero([len(w) >= words for w in raw])
-            bits = np.stack([_folded(raw[j], words) for j in above])
-            size, place = n[above], {j: i for i, j in enumerate(above)}
-            for j in mine:
-                i = place[j]
-                until = np.searchsorted(size, n[j] * 100 // percent, side="right")
-                if until <= i + 1:
-                    continue
-                far = np.bitwise_count(bits[i + 1 : until] ^ bits[i]).sum(axis=1)
-                most = (100 - percent) * (n[j] + size[i + 1 : until]) // (100 + percent)
-                near = above[i + 1 : until][far <= most]
-                ok = (comp[near] != comp[j]) & ((sides[near] != sides[j]) | (sides[near] == 2))
-                left.append(np.full(int(ok.sum()), ids[j]))
-                right.append(ids[near[ok]])
-        if not left:
-            return None
-        a, b = np.concatenate(left), np.concatenate(right)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["id", "hub"]
-        )
+    return ordered.mapInArrow(stars, "key bigint, id bigint, hub bigint, room bigint, members bigint")
+
+
+def _needed(shared: DataFrame) -> DataFrame:
+    """The keys that a set can't do without: all but the most frequent ones it has room to leave."""
+    order = Window.partitionBy("id", "room").orderBy(F.col("members").desc(), "key")
+    ranked = shared.withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") > F.col("room").bitwiseAND(F.lit((1 << 40) - 1))).select("key", "id", "hub")
+
+
+def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs (id, hub, apart) of a group whose sketches allow a link between components.
+
+    With ``nearest`` only one of them for each member, the one least apart.
+    """
+
+    def compared(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(rows)
+        group, n = table.column("group").to_numpy(), table.column("n").to_numpy()
+        order = np.lexsort((n, group))
+        group, n = group[order], n[order]
+        ids, comp, side = (table.column(c).to_numpy()[order] for c in ("id", "comp", "side"))
+        raw = [w for w in table.column("whole").to_pylist()]
+        lengths = np.array([len(w) // 8 for w in raw])
+        flat = np.frombuffer(b"".join(raw), dtype=np.uint64)
+        offsets = (np.cumsum(lengths) - lengths)[order]
+        words = lengths[order]
+        number = np.cumsum(np.concatenate([[0], group[1:] != group[:-1]]))
+        place = number * (1 << 40) + n
+        until = np.searchsorted(place, number * (1 << 40) + n * 100 // percent, side="right")
+        partners = until - np.arange(len(n)) - 1
+        ends = np.cumsum(partners)
+        at = 0
+        while at < len(n):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
+            mine = partners[at:to]
+            left = np.repeat(np.arange(at, to), mine)
+            step = np.arange(len(left)) - np.repeat(np.cumsum(mine) - mine, mine)
+            right = left + 1 + step
+            ok = (comp[left] != comp[right]) & ((side[left] != side[right]) | (side[left] == 2))
+            left, right = left[ok], right[ok]
+            apart = np.zeros(len(left), dtype=np.int64)
+            for w in np.unique(words[left]):
+                own = np.flatnonzero(words[left] == w)
+                a = flat[offsets[left[own]][:, None] + np.arange(w)]
+                b = flat[offsets[right[own]][:, None] + np.arange(w)]
+                double = words[right[own]] > w  # a larger set's sketch may be twice as long
+                b[double] ^= flat[offsets[right[own]][double][:, None] + w + np.arange(w)]
+                apart[own] = np.bitwise_count(a ^ b).sum(axis=1)
+            near = apart <= (100 - percent) * (n[left] + n[right]) // (100 + percent)
+            left, right, apart = left[near], right[near], apart[near]
+            if nearest and len(left):
+                from_, to_ = np.concatenate([left, right]), np.concatenate([right, left])
+                both = np.concatenate([apart, apart])
+                best = np.lexsort((ids[to_], both, from_))
+                best = best[np.concatenate([[True], from_[best][1:] != from_[best][:-1]])]
+                left, right, apart = from_[best], to_[best], both[best]
+            if len(left):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[left]), pa.array(ids[right]), pa.array(apart)], names=["id", "hub", "apart"]
+                )
+            at = to
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        current = None
+        rows = 0
         for batch in batches:
             group = batch.column("group").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if hi == lo:
-                    continue
-                if held and group[lo] != current:
-                    if (out := flush(held)) is not None and out.num_rows:
-                        yield out
-                    held = []
-                current = group[lo]
-                held.append(batch.slice(lo, hi - lo))
-        if held and (out := flush(held)) is not None and out.num_rows:
-            yield out
+            if not len(group):
+                continue
+            rows += len(group)
+            cut = int(np.flatnonzero(group != group[-1])[-1]) + 1 if group[0] != group[-1] else 0
+            if rows > 50_000 and cut:
+                yield from compared([*held, batch.slice(0, cut)])
+                held, rows = [batch.slice(cut)], len(group) - cut
+            else:
+                held.append(batch)
+        if held:
+            yield from compared(held)
+
+    return grouped.mapInArrow(pairs, "id bigint, hub bigint, apart bigint")
 
-    return mixed.mapInArrow(pairs, "id bigint, hub bigint")
 
+def _torn(needed: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of keys that are in different components, by groups of bounded size.
 
-def _folded(sketch: bytes, size: int) -> np.ndarray:
-    words = np.frombuffer(sketch, dtype=np.uint64)
-    while len(words) * 8 > size:
-        half = len(words) // 2
-        words = words[:half] ^ words[half:]
-    return words
+    A key with more members than ``PART`` is cut into parts; each row goes to the
+    group of its part with every other one.  Side 2 marks a group of one part.
+    """
+    members = needed.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    torn = members.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members")
+    ).where("low != high")
+    parts = F.ceil(F.col("members") / PART).cast("int")
+    mixed = members.join(torn.select("key", parts.alias("parts")), "key").join(sets, "id")
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    grouped = mixed.withColumn("own", own).withColumn(
+        "beside", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    ).select(
+        F.xxhash64("key", F.least("own", "beside"), F.greatest("own", "beside")).alias("group"),
+        F.when(F.col("own") == F.col("beside"), 2).when(F.col("own") < F.col("beside"), 0).otherwise(1).alias("side"),
+        "id", "comp", "n", "whole",
+    )
+    return grouped.repartition("group").sortWithinPartitions("group", "id")
 
 
 def _involved(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -375,8 +427,9 @@ def jaccard_components(
     classes = real.groupBy("n", "sum", "other").agg(F.min("id").alias("hub"))
     same = real.join(classes, ["n", "sum", "other"]).where("id != hub").select("id", "hub").distinct()
 
-    shared = written(_shared(rows.where("kind = 1 AND id IS NOT NULL").select("key", "id")), "shared-keys")
-    stars = shared.where("id != hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys"))
+    keys = rows.where("kind = 1 AND id IS NOT NULL").select("key", "id", F.col("n").alias("room"))
+    needed = written(_needed(written(_shared(keys), "shared-keys")), "needed-keys")
+    stars = needed.where("id != hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys"))
     best = stars.groupBy("id").agg(F.max_by("hub", F.struct("keys", -F.col("hub"))).alias("hub"))
     unlike = best.join(same, ["id", "hub"], "left_anti")
     size = real.select("id", "n").distinct()
@@ -389,29 +442,16 @@ def jaccard_components(
     linked = written(same.unionByName(_verified(named, first, k, percent)), "star-links")
     labels = connected_components(linked)
 
-    members = shared.select("key", "id").join(labels, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("comp")
-    )
-    torn = members.groupBy("key").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members")
-    ).where("low != high")
-    parts = F.ceil(F.col("members") / PART).cast("int")
-    mixed = members.join(torn.select("key", parts.alias("parts")), "key").join(
-        real.select("id", "n", "whole").dropDuplicates(["id"]), "id"
-    )
-    # A key with more members than PART is compared part by part: each row goes to one group per part.
-    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    grouped = mixed.withColumn("own", own).withColumn(
-        "beside", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    ).select(
-        F.xxhash64("key", F.least("own", "beside"), F.greatest("own", "beside")).alias("group"),
-        F.when(F.col("own") == F.col("beside"), 2).when(F.col("own") < F.col("beside"), 0).otherwise(1).alias("side"),
-        "id", "comp", "n", "whole",
-    )
-    pairs = _candidates(grouped.repartition("group").sortWithinPartitions("group", "id"), percent)
-    second = written(pairs.distinct(), "sketch-pairs")
-    if not second.isEmpty():
-        linked = written(linked.unionByName(_verified(named, second, k, percent)), "all-links")
+    sketched = real.select("id", "n", "whole").dropDuplicates(["id"])
+    for nearest in (True, False):
+        pairs = _candidates(_torn(needed, labels, sketched), percent, nearest)
+        if nearest:
+            pairs = pairs.groupBy("id").agg(F.min_by("hub", F.struct("apart", "hub")).alias("hub"))
+        chosen = pairs.select(F.greatest("id", "hub").alias("id"), F.least("id", "hub").alias("hub")).distinct()
+        chosen = written(chosen, "sketch-pairs")
+        if chosen.isEmpty():
+            break
+        linked = written(linked.unionByName(_verified(named, chosen, k, percent)), "all-links")
         labels = connected_components(linked)
     # Sizes come with the sets, a row for each of the input.
     return sets.join(labels, "id", "left").select(
