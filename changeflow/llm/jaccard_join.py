@@ -91,12 +91,12 @@ def block_sketch(shingles: np.ndarray, band: int, blocks: int) -> np.ndarray:
 
 
 def whole_sketch(shingles: np.ndarray) -> np.ndarray:
-    """A parity sketch of at least half a bit per shingle, a power of two of 64-bit words.
+    """A parity sketch of at least two bits per shingle, a power of two of 64-bit words.
 
     The first half of a sketch xor its second half is the sketch of half the size.
     """
     words = 1
-    while words * 128 < len(shingles):
+    while words * 32 < len(shingles):
         words *= 2
     place = (mix(shingles) >> np.uint64(8)).astype(np.int64) & (words * 64 - 1)
     odd = (np.bincount(place, minlength=words * 64) & 1).astype(np.uint8)
@@ -259,7 +259,7 @@ def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
         until = np.searchsorted(place, number * (1 << 40) + n * 100 // percent, side="right")
         partners = until - np.arange(len(n)) - 1
         ends = np.cumsum(partners)
-        at = 0
+        at, found = 0, []
         while at < len(n):
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
             mine = partners[at:to]
@@ -281,14 +281,17 @@ def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
             if nearest and len(left):
                 from_, to_ = np.concatenate([left, right]), np.concatenate([right, left])
                 both = np.concatenate([apart, apart])
-                best = np.lexsort((ids[to_], both, from_))
-                best = best[np.concatenate([[True], from_[best][1:] != from_[best][:-1]])]
-                left, right, apart = from_[best], to_[best], both[best]
-            if len(left):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[left]), pa.array(ids[right]), pa.array(apart)], names=["id", "hub", "apart"]
-                )
+                left, right, apart = _firsts(ids[from_], ids[to_], both, 1)
+            else:
+                left, right, apart = _firsts(np.maximum(ids[left], ids[right]), np.minimum(ids[left], ids[right]), apart, 2)
+            found.append((left, right, apart))
             at = to
+        left, right, apart = (np.concatenate(x) for x in zip(*found))
+        if len(left):
+            left, right, apart = _firsts(left, right, apart, 1 if nearest else 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(left), pa.array(right), pa.array(apart)], names=["id", "hub", "apart"]
+            )
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -299,7 +302,7 @@ def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 continue
             rows += len(group)
             cut = int(np.flatnonzero(group != group[-1])[-1]) + 1 if group[0] != group[-1] else 0
-            if rows > 50_000 and cut:
+            if rows > 200_000 and cut:
                 yield from compared([*held, batch.slice(0, cut)])
                 held, rows = [batch.slice(cut)], len(group) - cut
             else:
@@ -310,6 +313,17 @@ def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
     return grouped.mapInArrow(pairs, "id bigint, hub bigint, apart bigint")
 
 
+def _firsts(a: np.ndarray, b: np.ndarray, apart: np.ndarray, keys: int) -> tuple[np.ndarray, ...]:
+    """Of each a (or each a and b, with two keys) the row least apart."""
+    order = np.lexsort((b, apart, a) if keys == 1 else (b, a))
+    a, b, apart = a[order], b[order], apart[order]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = a[1:] != a[:-1]
+    if keys == 2:
+        new[1:] |= b[1:] != b[:-1]
+    return a[new], b[new], apart[new]
+
+
 def _torn(needed: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """The members of keys that are in different components, by groups of bounded size.
 

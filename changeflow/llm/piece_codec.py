@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Words kept per worker, and the longest that is kept.
-CACHE_WORDS, CACHE_CHARS = 250_000, 64
+CACHE_WORDS, CACHE_CHARS = 150_000, 64
 #: Signs of text whose new words are encoded together.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_500_000
 #: Words are put side by side with others of up to the same of these lengths.
 LENGTHS = (4, 7, 10, 13, 16, 20, 25, 32, 48, CACHE_CHARS)
 
