@@ -345,9 +345,9 @@ def _parts(docs: DataFrame, lexicon: Lexicon, model: Model) -> DataFrame:
                 place = np.arange(len(row), dtype=np.uint64) - block.bounds[row].astype(np.uint64)
                 np.add.at(digest, row, mix(block.hashes + mix(place)))
                 own = classes > ENDING_CLASSES
-                base = np.bincount(row[known], log_count[at[known]], minlength=n)
+                base = np.bincount(row[known], log_count[at[known]], minlength=n).astype(float)
                 both = known & ~own
-                inner = np.bincount(row[both], log_count[at[both]], minlength=n)
+                inner = np.bincount(row[both], log_count[at[both]], minlength=n).astype(float)
                 inner -= np.bincount(row[~own], log_inside[classes[~own]], minlength=n)
                 known_tokens = np.bincount(row[known], minlength=n) + (words.end_count > 0)
                 ended = _with_ends(classes, block.bounds)

@@ -115,7 +115,7 @@ def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int, int]] = set()
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_pylist()
             own_ids, sizes, sums, others, wholes = [], [], [], [], []
             key_ids, keys, rooms, held = [], [], [], 0
             for i, own in zip(ids, distinct_shingles(batch.column(1), k)):
@@ -127,7 +127,7 @@ def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
                 sums.append(first)
                 others.append(second)
                 wholes.append(whole_sketch(own).tobytes() if n else b"")
-                if not n or (n, first, second) in seen:
+                if not n or i is None or (n, first, second) in seen:
                     continue
                 seen.add((n, first, second))
                 for band in bands.bands_of(n):

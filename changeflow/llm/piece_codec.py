@@ -195,7 +195,7 @@ class PieceCodec:
             return []
         marked = text.replace(" ", MARK)
         if not self.cuts_at_mark:
-            return [MARK + marked]
+            return [marked]
         parts = marked.split(MARK)
         if "" not in parts:
             return parts  # the usual case: single spaces, each word lacks its own mark

@@ -129,10 +129,14 @@ class FactorisationMachine:
         return 1 / (1 + np.exp(-raw))
 
     def fit(
-        self, x: Features, y: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.1,
+        self, x: Features, y: np.ndarray, epochs: int | None = None, batch: int = 64, rate: float = 0.1,
         decay: float = 1e-4, seed: int = 7,
     ) -> None:
-        """Stochastic gradients of the logistic loss with a step per weight (Adagrad)."""
+        """Stochastic gradients of the logistic loss with a step per weight (Adagrad).
+
+        Few rows are gone through more often.
+        """
+        epochs = epochs or min(150, max(12, 60_000 // max(len(y), 1)))
         shuffle = np.random.default_rng(seed)
         single_sq = np.full(self.single.shape, 1e-2, dtype=np.float32)
         factor_sq = np.full(self.factors.shape, 1e-2, dtype=np.float32)
@@ -216,6 +220,7 @@ def fit_quality(
     ).toArrow()
     model = FactorisationMachine(WORD_FEATURES + len(STRUCTURE) + len(metadata))
     if not table.num_rows:
+        model.factors[:] = 0
         return model
     table = table.combine_chunks().sort_by("id").combine_chunks()
     index, value = (table.column(c).combine_chunks() for c in ("index", "value"))
