@@ -15,19 +15,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CORRUPT = "_corrupt"
-
-
-def string_fields(names: Sequence[str]) -> str:
-    return ", ".join(f"`{name}` string" for name in names)
+def string_types(names: Sequence[str]) -> str:
+    return ", ".join(f"`{name}`: string" for name in names)
 
 
 def parse_exact(text: str, names: Sequence[str]) -> str:
-    """Parse into a struct of strings; ``_corrupt`` holds text that does not fit."""
-    return (
-        f"from_json({text}, '{string_fields(names)}, {CORRUPT} string', "
-        f"map('columnNameOfCorruptRecord', '{CORRUPT}'))"
-    )
+    """Parse into an array of structs of strings; one element for one JSON value.
+
+    The brackets make text after the value an error: a second value would be a
+    second element, anything else gives NULL.
+    """
+    return f"from_json(concat('[', {text}, ']'), 'array<struct<{string_types(names)}>>')"
 
 
 def has_plain_keys(text: str) -> str:
@@ -40,13 +38,18 @@ def has_plain_keys(text: str) -> str:
     return f"{keys} = lower({keys})"
 
 
-def folded_entries(text: str) -> str:
-    """The object's entries with lower-case keys; NULL if it is not an object.
+def parse_maps(text: str) -> str:
+    """Parse into an array of maps; one element for one JSON object and nothing else."""
+    return f"from_json(concat('[', {text}, ']'), 'array<map<string,string>>')"
+
+
+def folded_entries(maps: str) -> str:
+    """The object's entries with lower-case keys; NULL if it is not one object.
 
     Entries stay an array: building a map again would fail on two keys that
     differ only in case unless the session sets a de-duplication policy.
     """
-    entries = f"map_entries(from_json({text}, 'map<string,string>'))"
+    entries = f"map_entries(CASE WHEN size({maps}) = 1 THEN {maps}[0] END)"
     return f"transform({entries}, e -> struct(lower(e.key) AS key, e.value AS value))"
 
 
@@ -60,18 +63,19 @@ def read_object(df: DataFrame, text: str, names: Sequence[str], into: str) -> Da
 
     Each step is a projection of its own, so that nothing is parsed twice.
     """
-    exact, fast, entries = f"_{into}_exact", f"_{into}_fast", f"_{into}_entries"
-    fits = f"{exact} IS NOT NULL AND {exact}.{CORRUPT} IS NULL"
+    exact, fast, maps, entries = (f"_{into}_{step}" for step in ("exact", "fast", "maps", "entries"))
+    fits = f"size({exact}) = 1 AND {exact}[0] IS NOT NULL"
     parsed = (
         df.selectExpr(
             "*", f"{parse_exact(text, names)} AS {exact}", f"{has_plain_keys(text)} AS _plain"
         )
         .selectExpr("*", f"coalesce(_plain AND {fits}, false) AS {fast}")
-        .selectExpr("*", f"CASE WHEN NOT {fast} THEN {folded_entries(text)} END AS {entries}")
+        .selectExpr("*", f"CASE WHEN NOT {fast} THEN {parse_maps(text)} END AS {maps}")
+        .selectExpr("*", f"{folded_entries(maps)} AS {entries}")
     )
     fields = [f"({fast} OR {entries} IS NOT NULL) AS is_object"]
     fields += [
-        f"CASE WHEN {fast} THEN {exact}.`{n}` ELSE {entry_value(entries, n)} END AS `{n}`"
+        f"CASE WHEN {fast} THEN {exact}[0].`{n}` ELSE {entry_value(entries, n)} END AS `{n}`"
         for n in names
     ]
     kept = [F.col(f"`{c}`") for c in df.columns]

@@ -22,6 +22,7 @@ from changeflow.schemas import (
     KEY,
     METRICS,
     NESTED,
+    OPERATIONS,
     WRAPPED,
     row_schema,
 )
@@ -31,6 +32,7 @@ NULL_VALUE = "null_value"
 NOT_AN_OBJECT = "not_json_object"
 DATA_NOT_AN_OBJECT = "data_not_object"
 NO_KEY = "no_key"
+BAD_OPERATION = "bad_operation"
 BAD_FIELD = "bad_"
 
 _POSITION = ("topic", "partition", "offset")
@@ -107,13 +109,15 @@ def decode_changes(
         else:
             operation, table = F.col("o.operation"), F.col("o.table")
 
+    operation = F.upper(operation)
     texts = {name: F.col(f"{row}.`{name}`") for name in names}
     typed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema.fields}
     error = (
         F.when(F.col("raw").isNull(), NULL_VALUE)
         .when(~F.col("o.is_object"), NOT_AN_OBJECT)
         .when(~is_data, DATA_NOT_AN_OBJECT)
-        .when(has_data & texts[key].isNull(), NO_KEY)
+        .when(has_data & (texts[key].isNull() | (texts[key] == "")), NO_KEY)
+        .when(~F.coalesce(operation.isin(*OPERATIONS), F.lit(False)), BAD_OPERATION)
     )
     if strict:
         for f in schema.fields:

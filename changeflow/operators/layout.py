@@ -27,8 +27,13 @@ def date_range_filter(
     """``start <= column < end`` that also prunes year/month/day partitions.
 
     A predicate on the time alone says nothing about the partition columns to
-    the optimizer, so both are given; the time predicate stays exact.
+    the optimizer, so both are given; the time predicate stays exact.  Times with
+    a zone are converted to UTC, those without are taken as they are; so the
+    column and its date parts must be in UTC.
     """
+    start, end = (
+        t.astimezone(dt.timezone.utc).replace(tzinfo=None) if t.tzinfo else t for t in (start, end)
+    )
     if not start < end:
         return F.lit(False)
     last = end - dt.timedelta(microseconds=1)

@@ -244,20 +244,23 @@ def reconcile_checksums(
 
 
 def qa_verdict(results: DataFrame) -> DataFrame:
-    """One row: does everything that could be compared agree?
+    """One row: was every table compared, and does all that was compared agree?
 
-    A skipped check is a warning, an error is a failure.
+    A skipped check is a warning, an error is a failure.  Without any result, or
+    with a table of which every check was skipped, nothing is proven: not passed.
     """
     verdict = F.col("verdict")
-    return results.agg(
-        F.coalesce(F.every(verdict.isin(PASS, SKIPPED)), F.lit(True)).alias("passed"),
-        *[
-            F.count_if(verdict == v).alias(f"n_{v.lower()}")
-            for v in (PASS, FAIL, SKIPPED, ERROR)
-        ],
-    )
+    counts = [F.count_if(verdict == v).alias(f"n_{v.lower()}") for v in (PASS, FAIL, SKIPPED, ERROR)]
+    tables = results.groupBy("table").agg(*counts)
+    compared = F.coalesce(F.every(F.col("n_pass") + F.col("n_fail") > 0), F.lit(False))
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_pass", "n_fail", "n_skipped", "n_error")]
+    found = tables.agg(compared.alias("compared"), *totals)
+    passed = F.col("compared") & (F.col("n_fail") == 0) & (F.col("n_error") == 0)
+    return found.select(passed.alias("passed"), "n_pass", "n_fail", "n_skipped", "n_error")
 
 
 def exit_code(verdict: DataFrame) -> int:
-    """0 when the checks passed, 1 otherwise; reads the one verdict row."""
-    return 0 if verdict.first()["passed"] else 1
+    """0 when the checks passed, 1 when one failed, 2 when nothing failed but a
+    table was not compared; reads the one verdict row."""
+    row = verdict.first()
+    return 0 if row["passed"] else 1 if row["n_fail"] or row["n_error"] else 2

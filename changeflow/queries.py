@@ -539,12 +539,6 @@ def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_hash(log, fixtures.ROW_FIELDS, portable=True).select("seq", "row_hash")
 
 
-@query
-def row_hash_native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _log(spark, sf_dir).withColumnRenamed("offset", "seq")
-    return quality.row_hash(log, fixtures.ROW_FIELDS).select("seq", "row_hash")
-
-
 @query
 def topk_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     inserts = _log(spark, sf_dir).where(F.col("operation") == schemas.INSERT)
@@ -626,7 +620,7 @@ def qa_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows landed per table, as the streams themselves counted them."""
+    """Rows per table, from the counts of every landed batch."""
     root = _publish(spark, sf_dir)
     counted = []
     for t in TABLES:
@@ -637,9 +631,9 @@ def batch_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         path, checkpoint = work_folder(spark, "batches"), work_folder(spark, "checkpoint")
         started = sinks.append_batches(rows, path, checkpoint, once=True)
         run.finish_all([started])
-        counted += [(t, rows) for _, rows in sinks.batch_row_counts(started)]
-    batches = spark.createDataFrame(counted, "tbl string, batch_rows long")
-    return batches.groupBy("tbl").agg(F.sum("batch_rows").alias("row_count"))
+        landed = tables.read_table(spark, path, replicate.landed_schema(t))
+        counted.append(sinks.batch_row_counts(landed).select(F.lit(t).alias("tbl"), "rows"))
+    return counted[0].unionByName(counted[1]).groupBy("tbl").agg(F.sum("rows").alias("row_count"))
 
 
 @query

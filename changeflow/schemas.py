@@ -17,6 +17,7 @@ TABLES = (ROBOT, TELEOP)
 INSERT = "INSERT"
 UPDATE = "UPDATE"
 DELETE = "DELETE"
+OPERATIONS = (INSERT, UPDATE, DELETE)
 
 CHANNELS = {ROBOT: "robot_changes", TELEOP: "teleop_changes"}
 EVENT_TOPICS = {ROBOT: "robot_events", TELEOP: "teleop_events"}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,7 +114,9 @@ def read_change_batch(
     return reader.parquet(_topic_path(source, topics))
 
 
-def as_records(changes: DataFrame, partitions: int = 8, timestamp: str | None = None) -> DataFrame:
+def as_records(
+    changes: DataFrame, partitions: int = 8, timestamp: str | None = None, first_offset: int = 0
+) -> DataFrame:
     """Stream-record columns for file topics, where no broker assigns them.
 
     Needs ``value`` and ``topic``; takes ``key`` and ``offset`` when present.
@@ -122,7 +125,7 @@ def as_records(changes: DataFrame, partitions: int = 8, timestamp: str | None =
     have = changes.columns
     key = F.col("key") if "key" in have else F.lit(None)
     key = key.cast("binary")
-    offset = F.col("offset") if "offset" in have else F.monotonically_increasing_id()
+    offset = F.col("offset") if "offset" in have else F.monotonically_increasing_id() + first_offset
     time = F.col(timestamp) if timestamp else F.current_timestamp()
     return changes.select(
         key.alias("key"),
@@ -135,17 +138,33 @@ def as_records(changes: DataFrame, partitions: int = 8, timestamp: str | None =
     )
 
 
+def _next_offset(spark: SparkSession, target: str) -> int:
+    """The offset after the largest that the file topics have; 0 if there are none."""
+    try:
+        there = spark.read.schema(STREAM_RECORD).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return there.agg(F.coalesce(F.max("offset") + 1, F.lit(0))).first()[0]
+
+
 def publish_changes(
-    changes: DataFrame, target: str, fmt: str = FILES, timestamp: str | None = None
+    changes: DataFrame, target: str, fmt: str = FILES, timestamp: str | None = None,
+    extra: Mapping[str, str] | None = None,
 ) -> None:
     """Publish ``key``, ``value`` and ``topic``; rows without a topic stay out.
 
-    A narrow job: each task sends its own rows, no shuffle.
+    A narrow job: each task sends its own rows, no shuffle.  In file topics, rows
+    without an ``offset`` follow all that is there already, so no call repeats a
+    position; two publishers at the same time must give offsets of their own.
+    ``extra`` has the producer's settings (``kafka.acks``, security, compression).
     """
     routed = changes.where(F.col("topic").isNotNull())
     if fmt == KAFKA:
         columns = [c for c in ("key", "value", "topic") if c in routed.columns]
         writer = routed.select(*columns).write.format("kafka")
-        writer.option("kafka.bootstrap.servers", target).save()
+        writer.options(**{"kafka.bootstrap.servers": target, **(extra or {})}).save()
         return
-    as_records(routed, timestamp=timestamp).write.mode("append").partitionBy("topic").parquet(target)
+    first = 0 if "offset" in routed.columns else _next_offset(routed.sparkSession, target)
+    as_records(routed, timestamp=timestamp, first_offset=first).write.mode("append").partitionBy("topic").parquet(target)

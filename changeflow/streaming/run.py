@@ -20,11 +20,16 @@ def run_many(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
         spark.streams.resetTerminated()
 
 
-def finish_all(queries: Sequence[StreamingQuery], timeout: float = 600) -> None:
-    """Wait until queries that read what is there have all ended."""
-    deadline = time.monotonic() + timeout
+def finish_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait until queries that read what is there have all ended.
+
+    Without a ``timeout`` (seconds) it waits as long as they take.
+    """
+    deadline = time.monotonic() + (timeout or 0)
     for query in queries:
-        if not query.awaitTermination(max(1, int(deadline - time.monotonic()))):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(max(1, int(deadline - time.monotonic()))):
             for running in queries:
                 running.stop()
             raise TimeoutError(f"query {query.name or query.id} did not end in {timeout} s")

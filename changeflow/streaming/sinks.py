@@ -51,8 +51,19 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.observe(ROWS, F.count("*").alias("rows"))
 
 
-def batch_row_counts(query: StreamingQuery) -> list[tuple[int, int]]:
-    """(batch id, rows) of the batches that read something."""
+def batch_row_counts(landed: DataFrame) -> DataFrame:
+    """Rows of every landed batch (query_id, batch_id, rows), however many there are.
+
+    Reads the partition columns only.
+    """
+    return landed.groupBy("query_id", "batch_id").agg(F.count("*").alias("rows"))
+
+
+def recent_row_counts(query: StreamingQuery) -> list[tuple[int, int]]:
+    """(batch id, rows) of the latest batches that read something.
+
+    Spark keeps the progress of the last 100 batches only.
+    """
     counts = []
     for progress in query.recentProgress:
         observed = (progress.get("observedMetrics") or {}).get(ROWS)
@@ -110,7 +121,10 @@ def running_query_id(batch: DataFrame) -> str:
     It is the same after a restart from the same checkpoint and another for a
     new checkpoint, whose batch ids start at 0 again.
     """
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query_id is None:
+        raise RuntimeError("not called from a streaming query: its id is unknown")
+    return query_id
 
 
 def write_batch(

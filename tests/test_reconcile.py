@@ -105,7 +105,7 @@ def test_empty_tables_agree(spark, source):
 
 def test_overall_verdict(spark):
     def overall(*verdicts):
-        df = spark.createDataFrame([(v,) for v in verdicts], "verdict string")
+        df = spark.createDataFrame([("t", v) for v in verdicts], "`table` string, verdict string")
         result = R.qa_verdict(df)
         return result.first()["passed"], R.exit_code(result)
 
@@ -113,7 +113,8 @@ def test_overall_verdict(spark):
     assert overall(R.PASS, R.SKIPPED) == (True, 0)
     assert overall(R.PASS, R.FAIL) == (False, 1)
     assert overall(R.ERROR) == (False, 1)
-    assert overall() == (True, 0)
+    assert overall() == (False, 2)
+    assert overall(R.SKIPPED) == (False, 2)
 
 
 def test_other_tables(spark, small):

@@ -64,7 +64,7 @@ def test_batches_equal_the_log_and_are_counted(spark, log, topics, fresh, files)
     )
     run.finish_all([query])
     assert landed_robot(spark, path) == expected_robot(log)
-    counts = sinks.batch_row_counts(query)
+    counts = sinks.recent_row_counts(query)
     assert len(counts) >= 3 and sum(n for _, n in counts) == len(expected_robot(log))
 
 
@@ -125,7 +125,7 @@ def test_split_lands_every_record_somewhere(spark, log, topics, fresh):
     bad = spark.read.parquet(f"{lake}/quarantine")
     assert rows(bad, "raw", "error", "offset") == [("{oops", "not_json_object", 5001)]
     # Every record of the stream counted once, although three tables are written.
-    assert sum(n for _, n in sinks.batch_row_counts(query)) == log.count() + 2
+    assert sum(n for _, n in sinks.recent_row_counts(query)) == log.count() + 2
 
 
 def test_qa_over_a_replicated_lake(spark, log, topics, small, fresh):
@@ -225,7 +225,7 @@ def test_native_stream_equals_the_log(spark, log, topics, fresh):
     landed = tables.read_table(spark, path, rows_in.schema)
     assert "Exchange" not in query._jsq.explainInternal(False)  # narrow from source to file
     assert rows(landed, *fixtures.ROW_FIELDS, "operation", "offset") == expected_robot(log)
-    assert sum(n for _, n in sinks.batch_row_counts(query)) == len(expected_robot(log))
+    assert sum(n for _, n in sinks.recent_row_counts(query)) == len(expected_robot(log))
 
 
 def test_stream_dedupe(spark, log, fresh):
@@ -249,7 +249,7 @@ def test_processing_time_trigger_and_run_many(spark, topics, fresh):
         for i, p in enumerate(paths)
     ]
     deadline = time.time() + 60
-    while time.time() < deadline and not all(len(sinks.batch_row_counts(q)) >= 3 for q in queries):
+    while time.time() < deadline and not all(len(sinks.recent_row_counts(q)) >= 3 for q in queries):
         time.sleep(0.2)
     queries[0].stop()
     run.run_many(spark, queries)  # one has ended, so this returns and stops the other
