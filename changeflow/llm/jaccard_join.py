@@ -44,6 +44,8 @@ PART = 4096
 MANY = 200_000
 #: Pairs whose sketches are compared at once.
 PAIRS = 1_000_000
+#: Marks the bands of sets with too many empty blocks.
+SPARSE = 1 << 12
 
 
 class Bands:
@@ -90,6 +92,25 @@ def block_sketch(shingles: np.ndarray, band: int, blocks: int) -> np.ndarray:
     return np.packbits(odd).view(np.uint64)
 
 
+def block_keys(shingles: np.ndarray, band: int, bands: Bands) -> list[tuple[int, np.ndarray]]:
+    """(room, keys) of a set in a band; the low 40 bits of room are the keys it may do without.
+
+    Blocks without a bit are the first that a set does without.  A set with more
+    of them than are to spare needs all its other keys, as a partner may count on
+    any of them; two such sets may agree in empty blocks only, so they also have
+    keys of all blocks, apart from the other keys, and do without the spare ones.
+    """
+    blocks, spare = bands.blocks(band)
+    bits = block_sketch(shingles, band, blocks)
+    number = np.arange(blocks, dtype=np.uint64) + np.uint64(band << 40)
+    keys = mix(bits ^ mix(number + np.uint64(77)))
+    filled = keys[bits != 0]
+    room = spare - (blocks - len(filled))
+    if room >= 0:
+        return [(band << 40 | room, filled)]
+    return [(band << 40, filled), ((band | SPARSE) << 40 | spare, mix(keys ^ np.uint64(SPARSE)))]
+
+
 def whole_sketch(shingles: np.ndarray) -> np.ndarray:
     """A parity sketch of at least two bits per shingle, a power of two of 64-bit words.
 
@@ -131,18 +152,11 @@ def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
                     continue
                 seen.add((n, first, second))
                 for band in bands.bands_of(n):
-                    blocks, spare = bands.blocks(band)
-                    bits = block_sketch(own, band, blocks)
-                    number = np.arange(blocks, dtype=np.uint64) + np.uint64(band << 40)
-                    found = mix(bits ^ mix(number + np.uint64(77)))
-                    empty = bits == 0
-                    room = spare - int(empty.sum())
-                    if room >= 0:
-                        found = found[~empty]
-                    keys.append(found)
-                    key_ids.append(np.full(len(found), i, dtype=np.int64))
-                    rooms.append(np.full(len(found), band << 40 | (room if room >= 0 else spare), dtype=np.int64))
-                    held += len(found)
+                    for room, found in block_keys(own, band, bands):
+                        keys.append(found)
+                        key_ids.append(np.full(len(found), i, dtype=np.int64))
+                        rooms.append(np.full(len(found), room, dtype=np.int64))
+                        held += len(found)
                 if held > 500_000:
                     yield _keys_batch(key_ids, keys, rooms)
                     key_ids, keys, rooms, held = [], [], [], 0

@@ -361,6 +361,33 @@ def test_components_match_brute_force(spark, percent, k):
     assert found == brute_components(texts, percent, k)
 
 
+def test_linked_sets_share_a_key_that_neither_leaves():
+    """With any choice of spare keys: more keys are shared than the roomier set may leave."""
+    draw = np.random.default_rng(5)
+    bands = jaccard_join.Bands(85)
+    checked = sparse = 0
+    for n in (6, 13, 20, 22, 26, 40):
+        for _ in range(1500):
+            pool = draw.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+            gone = int(draw.integers(0, n // 5 + 1))
+            a, b = pool[:n], pool[gone : n + int(draw.integers(0, n // 5 + 1))]
+            common = len(np.intersect1d(a, b))
+            if 100 * common < 85 * len(np.union1d(a, b)):
+                continue
+            checked += 1
+            band = bands.band_of(min(len(a), len(b)))
+            assert band in bands.bands_of(len(a)) and band in bands.bands_of(len(b))
+            low = (1 << 40) - 1
+            of_a, of_b = (jaccard_join.block_keys(x, band, bands) for x in (a, b))
+            sparse += len(of_a) > 1 or len(of_b) > 1
+            shared = [
+                len(np.intersect1d(keys_a, keys_b)) - max(room_a & low, room_b & low)
+                for room_a, keys_a in of_a for room_b, keys_b in of_b
+            ]
+            assert max(shared) > 0
+    assert checked > 1000 and sparse > 20
+
+
 def test_odd_components(odd):
     rows = jaccard_join.jaccard_components(odd).collect()
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
