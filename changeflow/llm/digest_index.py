@@ -1,7 +1,7 @@
 """Exact deduplication against a persistent index of digests.
 
 The index is a catalog table, bucketed and sorted by digest, with one row per
-distinct text.  New data is deduplicated within itself, then by a sort-merge
+distinct text and as many buckets as its first data asks for.  New data is deduplicated within itself, then by a sort-merge
 anti-join against the index, whose side of the join is read bucket by bucket
 without a shuffle, and what is new is appended.
 """
@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.tables import heavy_keys, lower_az, text_or_empty, written
 
+#: The least number of buckets, and the rows of first data for which there is one more.
 BUCKETS = 64
+ROWS_PER_BUCKET = 4_000_000
+
+
+def buckets_for(rows: int) -> int:
+    return max(BUCKETS, -(-rows // ROWS_PER_BUCKET))
 
 
 def with_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -47,8 +53,10 @@ class DigestIndex:
         if self.exists():
             known = self.read().select("digest").hint("merge")
             new = new.join(known, "digest", "left_anti")
+        # Each bucket comes to one task, so an append adds a file per bucket.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
         (
-            new.repartition(self.buckets, "digest")
+            new.repartitionById(self.buckets, bucket)
             .write.mode("append").format("parquet")
             .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.table)
         )
@@ -94,11 +102,12 @@ def exact_dedup(
     """
     spark = docs.sparkSession
     digests = written(with_digest(docs, id_col, text_col), "digests")
-    own = index or DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
     if index is not None:
+        own = index
         own.append_new(digests)
     else:
-        low, high = digests.agg(F.min("doc_id"), F.max("doc_id")).first()
+        low, high, rows = digests.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
+        own = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", buckets_for(rows))
         low, high = (0, 0) if low is None else (low, high)
         edges = [low + (high - low + 1) * i // deliveries for i in range(1, deliveries)]
         place = F.lit(0)
