@@ -33,6 +33,8 @@ NOT_AN_OBJECT = "not_json_object"
 DATA_NOT_AN_OBJECT = "data_not_object"
 NO_KEY = "no_key"
 BAD_OPERATION = "bad_operation"
+NO_DATA = "no_data"
+NO_TOPIC = "no_topic"
 BAD_FIELD = "bad_"
 
 _POSITION = ("topic", "partition", "offset")
@@ -187,6 +189,13 @@ def quarantine_malformed(decoded: DataFrame) -> DataFrame:
     return bad.select("raw", "error", *kept)
 
 
+def without_data(decoded: DataFrame) -> DataFrame:
+    """Accepted changes that carry no row: operation, raw text and position."""
+    kept = [n for n in (*_POSITION, "record_timestamp") if n in decoded.columns]
+    bare = decoded.where(F.col("error").isNull() & ~F.col("has_data"))
+    return bare.select("operation", "raw", *kept)
+
+
 def decode_report(decoded: DataFrame) -> DataFrame:
     """Records per outcome; ``ok`` for the accepted ones.  Batch only."""
     outcome = F.coalesce("error", F.lit("ok")).alias("outcome")
@@ -216,7 +225,7 @@ def open_wrapper(records: DataFrame) -> DataFrame:
     )
     fields = [
         F.col("o.table").alias("table"),
-        F.col("o.action").alias("operation"),
+        F.upper(F.col("o.action")).alias("operation"),
         data.alias("data"),
         F.coalesce(data.startswith("{") & (data != "{}"), F.lit(False)).alias("has_data"),
         error.alias("error"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from py4j.protocol import Py4JError
@@ -37,7 +38,16 @@ ERROR = "ERROR"      # a side was read, but the check could not be computed
 _OK, _UNREADABLE, _BROKEN = "ok", "unreadable", "error"
 _STATS = "`table` string, check_name string, side string, value string, status string"
 
-Side = DataFrame | Callable[[], DataFrame] | None
+
+@dataclass(frozen=True)
+class Computed:
+    """A side whose check values its own database computed, in one row with a
+    column per check; see ``sources.postgres.stats_query``."""
+
+    values: DataFrame
+
+
+Side = DataFrame | Computed | Callable[[], "DataFrame | Computed"] | None
 
 
 def _missing(
@@ -116,12 +126,14 @@ def grouped_stats(
     return _tall(grouped, F.col(by), side, {c: c for c in found})
 
 
-def stats_from_query(result: DataFrame, table: str, side: str) -> DataFrame:
+def stats_from_query(
+    result: DataFrame, table: str, side: str, checks: Sequence[str] = CHECKS
+) -> DataFrame:
     """Tall rows from one row of check values that the source database computed.
 
     The columns are named after the checks; see ``sources.postgres``.
     """
-    values = {check: check for check in CHECKS if check in result.columns}
+    values = {check: check for check in checks if check in result.columns}
     return _tall(result, F.lit(table), side, values)
 
 
@@ -154,7 +166,8 @@ def side_stats(
 ) -> DataFrame:
     """Tall rows of every table of one side.
 
-    A table is a DataFrame, a function that opens one, or None.  One that
+    A table is a DataFrame, its :class:`Computed` values, a function that opens
+    either, or None.  One that
     cannot be opened is unreadable; one that opens but lacks a needed column
     is an error.  The verdict tells the two apart.
     """
@@ -168,6 +181,13 @@ def side_stats(
         if df is None:
             parts.append(_missing(spark, table, side, checks, _UNREADABLE))
             continue
+        if isinstance(df, Computed):
+            absent = [c for c in checks if c not in df.values.columns]
+            if absent:
+                parts.append(_missing(spark, table, side, absent, _BROKEN))
+            if len(absent) < len(checks):
+                parts.append(stats_from_query(df.values, table, side, checks))
+            continue
         name = key if isinstance(key, str) else key[table]
         parts += _build(df, table, side, name, (columns or {}).get(table), checks, sample)
     return reduce(DataFrame.unionByName, parts)

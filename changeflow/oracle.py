@@ -126,7 +126,7 @@ HOST_METRICS = f"""{METRICS} SELECT "timestamp", hostname, cpu_percent, memory_p
   CAST(disk_write_total AS DOUBLE) AS disk_io_write, seq FROM m"""
 
 _DAMAGED = f"""WITH {LOG}, encoded AS (SELECT *, {FLAT} AS value FROM log), damaged AS (
-  SELECT seq, event_id AS kind,
+  SELECT seq, tbl, event_id AS kind,
     CASE event_id WHEN 'ERROR' THEN substr(value, 1, length(value) - 5)
       WHEN 'SIGNUP' THEN '[' || value || ']'
       WHEN 'VIEW' THEN replace(value, '"timestamp":"2024', '"timestamp":"noon')
@@ -232,6 +232,21 @@ ORACLE: dict[str, str] = {
         f"{_DAMAGED} SELECT COALESCE(error, 'ok') AS outcome, {N} AS records "
         "FROM damaged GROUP BY COALESCE(error, 'ok')"
     ),
+    "quarantine_by_date": f"{_DAMAGED} SELECT COALESCE(error, tbl) AS outcome, seq FROM damaged",
+    "quarantine_metrics": (
+        "SELECT CASE WHEN event_id % 5 < 2 THEN 'not_json_object' ELSE 'landed' END AS outcome, "
+        "event_id AS seq FROM events"
+    ),
+    "quarantine_shared": _with_log(
+        "SELECT CASE WHEN event_id IN ('ERROR', 'SIGNUP') THEN 'not_json_object' "
+        "WHEN event_id = 'VIEW' THEN 'no_data' ELSE tbl END AS outcome, seq FROM log"
+    ),
+    "unforwarded": _with_log(
+        "SELECT * FROM (SELECT CASE WHEN event_id IN ('ERROR', 'SIGNUP') THEN 'not_json_object' "
+        "WHEN operation <> 'INSERT' THEN NULL WHEN event_id = 'VIEW' THEN 'no_topic' "
+        "WHEN event_id = 'CLICK' THEN 'bad_operation' ELSE 'forwarded' END AS outcome, seq "
+        "FROM log) o WHERE outcome IS NOT NULL"
+    ),
     "record_key": _with_log("SELECT uuid AS record_key, seq FROM log"),
     "unwrap_data": _with_log(
         "SELECT CASE WHEN tbl = 'robot' THEN 'robot_cdc' ELSE 'teleop_cdc' END AS topic, "

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.decode import (
+    BAD_OPERATION,
+    NO_DATA,
+    NO_TOPIC,
     accepted,
     decode_changes,
     open_wrapper,
@@ -17,8 +20,10 @@ from changeflow.operators.decode import (
     project_to_table,
     quarantine_malformed,
     unwrap_data,
+    without_data,
 )
 from changeflow.operators.encode import encode_changes, record_key
+from changeflow.operators.layout import DATE_PARTS, add_date_parts
 from changeflow.operators.routing import (
     filter_topic,
     keep_inserts,
@@ -32,8 +37,10 @@ from changeflow.schemas import (
     EVENT_TOPICS,
     FLAT,
     HOST_METRICS_TOPIC,
+    INSERT,
     METRICS,
     NESTED,
+    OPERATIONS,
     POSITION,
     ROBOT,
     ROW_TOPICS,
@@ -49,12 +56,17 @@ from changeflow.streaming.sinks import (
     EVENT_TRIGGER,
     METRICS_TRIGGER,
     Target,
-    append_batches,
-    append_stream_by_date,
     split_batches,
 )
 
 QUARANTINE = "quarantine"
+NO_DATA_TABLE = "no_data"
+QUARANTINED = T.StructType(
+    [T.StructField("raw", T.StringType()), T.StructField("error", T.StringType())] + POSITION.fields
+)
+WITHOUT_DATA = T.StructType(
+    [T.StructField("operation", T.StringType()), T.StructField("raw", T.StringType())] + POSITION.fields
+)
 ROW_FIELDS = ("uuid", "robot_id", "timestamp", "event_id")
 OPTIONAL_FIELDS = ("teleoperator_id",)
 
@@ -66,17 +78,40 @@ def capture_changes(changes: DataFrame) -> DataFrame:
     return record_key(routed)
 
 
+def _opened(notifications: DataFrame) -> DataFrame:
+    opened = open_wrapper(notifications)
+    channel = F.col("channel") if "channel" in opened.columns else F.lit(None).cast("string")
+    return opened.withColumn("_route", route_by_channel_or_table(channel, F.col("table")))
+
+
 def forward_inserts(notifications: DataFrame) -> DataFrame:
     """Wrapped notifications to bare-row records.
 
     Only inserts with a row are forwarded, routed by channel or table; records
-    for neither table have no topic and are not published.
+    for neither table have no topic and are not published.  What should have
+    been forwarded and could not be is in :func:`unforwarded`.
     """
-    opened = open_wrapper(notifications)
-    inserts = keep_inserts(opened.where(F.col("error").isNull()))
-    channel = F.col("channel") if "channel" in opened.columns else F.lit(None).cast("string")
-    routed = inserts.withColumn("topic", route_by_channel_or_table(channel, F.col("table")))
-    return unwrap_data(routed)
+    inserts = keep_inserts(_opened(notifications).where(F.col("error").isNull()))
+    return unwrap_data(inserts.withColumn("topic", F.col("_route")).drop("_route"))
+
+
+def unforwarded(notifications: DataFrame) -> DataFrame:
+    """What :func:`forward_inserts` could not forward: raw text, reason, position.
+
+    Notifications that do not decode, unknown operations, and inserts without a
+    row or for neither table.  Known changes other than inserts are left out by
+    both functions.
+    """
+    opened = _opened(notifications)
+    known = F.coalesce(F.col("operation").isin(*OPERATIONS), F.lit(False))
+    is_insert = F.col("operation") == INSERT
+    reason = (
+        F.when(F.col("error").isNotNull(), F.col("error"))
+        .when(~known, BAD_OPERATION)
+        .when(is_insert & ~F.col("has_data"), NO_DATA)
+        .when(is_insert & F.col("_route").isNull(), NO_TOPIC)
+    )
+    return quarantine_malformed(opened.withColumn("error", reason))
 
 
 def _table_rows(table: str):
@@ -130,7 +165,11 @@ def replicate_shared_topic(
     files: int | None = None,
     source_options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
-    """Nested events of both tables on one topic, split by teleoperator."""
+    """Nested events of both tables on one topic, split by teleoperator.
+
+    Lands ``root/robot``, ``root/teleop``, ``root/no_data`` (changes without a
+    row, of which nothing says the table) and ``root/quarantine``.
+    """
     records = read_change_stream(
         spark, SHARED_TOPIC, source, source_fmt, max_per_trigger=max_per_trigger,
         extra=source_options,
@@ -144,10 +183,15 @@ def replicate_shared_topic(
         )
 
     targets = [Target(f"{root}/{t}", rows(t), ("robot_id",), files) for t in (ROBOT, TELEOP)]
+    targets.append(Target(f"{root}/{NO_DATA_TABLE}", without_data))
     targets.append(Target(f"{root}/{QUARANTINE}", quarantine_malformed))
     return split_batches(decoded, targets, checkpoint, fmt, every, once, "shared_topic")
 
 
+def _beside(path: str) -> str:
+    return f"{path.rstrip('/')}_{QUARANTINE}"
+
+
 def replicate_rows_by_date(
     spark: SparkSession,
     table: str,
@@ -161,19 +205,28 @@ def replicate_rows_by_date(
     max_per_trigger: int | None = None,
     files: int | None = None,
     source_options: Mapping[str, str] | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Bare rows of one table to a table partitioned by year, month and day."""
+    """Bare rows of one table to a table partitioned by year, month and day.
+
+    The partition columns follow those of the batch.  What does not decode lands
+    in ``quarantine``, by default the path with ``_quarantine`` added.
+    """
     records = read_change_stream(
         spark, ROW_TOPICS[table], source, source_fmt, max_per_trigger=max_per_trigger,
         extra=source_options,
     )
-    rows = project_to_table(
-        accepted(decode_changes(records, BARE)), table_schema(table, zoned=True),
-        keep=POSITION.fieldNames(),
-    )
-    return append_stream_by_date(
-        rows, path, checkpoint, fmt=fmt, every=every, once=once, name=f"{table}_by_date",
-        files=files,
+
+    def rows(batch: DataFrame) -> DataFrame:
+        schema = table_schema(table, zoned=True)
+        return add_date_parts(project_to_table(accepted(batch), schema, POSITION.fieldNames()))
+
+    targets = [
+        Target(path, rows, DATE_PARTS, files),
+        Target(quarantine or _beside(path), quarantine_malformed),
+    ]
+    return split_batches(
+        decode_changes(records, BARE), targets, checkpoint, fmt, every, once, f"{table}_by_date"
     )
 
 
@@ -191,22 +244,30 @@ def replicate_metrics(
     once: bool = False,
     max_per_trigger: int | None = None,
     source_options: Mapping[str, str] | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Metrics samples to a table partitioned by host, or by day.
 
-    Never by a measured value: that would make a folder per reading.
+    Never by a measured value: that would make a folder per reading.  What does
+    not decode lands in ``quarantine``, by default the path with ``_quarantine``
+    added.
     """
     records = read_change_stream(
         spark, topic, source, source_fmt, max_per_trigger=max_per_trigger, extra=source_options
     )
-    samples = project_to_table(accepted(parse_metrics(records, kind)), METRICS[kind])
     host = {"host": "hostname", "broker": "broker_id"}.get(kind)
-    if by_date or host is None:
-        return append_stream_by_date(
-            samples, path, checkpoint, fmt=fmt, every=every, once=once, name=f"{kind}_metrics"
-        )
-    return append_batches(
-        samples, path, checkpoint, (host,), fmt, every, once, f"{kind}_metrics"
+    dated = by_date or host is None
+
+    def samples(batch: DataFrame) -> DataFrame:
+        shaped = project_to_table(accepted(batch), METRICS[kind])
+        return add_date_parts(shaped) if dated else shaped
+
+    targets = [
+        Target(path, samples, DATE_PARTS if dated else (host,)),
+        Target(quarantine or _beside(path), quarantine_malformed),
+    ]
+    return split_batches(
+        parse_metrics(records, kind), targets, checkpoint, fmt, every, once, f"{kind}_metrics"
     )
 
 
@@ -223,12 +284,18 @@ def read_change_log(
 
 
 def replicated_table(
-    spark: SparkSession, root: str, table: str, fmt: str = "parquet"
+    spark: SparkSession, root: str, table: str, fmt: str = "parquet",
+    order: Sequence[str] = ("offset",),
 ) -> DataFrame:
-    """The table as the change log leaves it: its live rows and columns."""
+    """The table as the change log leaves it: its live rows and columns.
+
+    ``order`` as for :func:`changeflow.operators.state.current_state`: records
+    that were sent without a key need more than the offset.
+    """
     names = table_schema(table).fieldNames()
-    log = read_change_log(spark, root, table, fmt).select("operation", *names, "offset")
-    return current_state(log).select(*names)
+    position = [c for c in order if c not in names]
+    log = read_change_log(spark, root, table, fmt).select("operation", *names, *position)
+    return current_state(log, order=order).select(*names)
 
 
 def compact_log(

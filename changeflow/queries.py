@@ -146,9 +146,12 @@ def append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_stream_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _publish(spark, sf_dir, schemas.BARE, _by_table(schemas.ROW_TOPICS))
     path, checkpoint = work_folder(spark, "by-date"), work_folder(spark, "checkpoint")
-    started = replicate.replicate_rows_by_date(
-        spark, TELEOP, root, path, checkpoint, every=None, once=True
+    records = stream.read_change_stream(spark, schemas.ROW_TOPICS[TELEOP], root)
+    rows = decode.project_to_table(
+        decode.accepted(decode.parse_bare(records)), schemas.table_schema(TELEOP, zoned=True),
+        schemas.POSITION.fieldNames(),
     )
+    started = sinks.append_stream_by_date(rows, path, checkpoint, every=None, once=True)
     run.finish_all([started])
     parts = [T.StructField(p, T.IntegerType()) for p in layout.DATE_PARTS]
     schema = T.StructType(
@@ -423,11 +426,14 @@ def encode_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoded(images, schemas.FLAT).select("value", F.col("offset").alias("seq"))
 
 
-def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _damaged(
+    spark: SparkSession, sf_dir: str, envelope: str = schemas.FLAT, topic: Column | None = None
+) -> DataFrame:
     """Records of which most are damaged, each event type in its own way."""
     kind = F.col("event_id")
     value = F.col("value")
-    encoded = _encoded(_log(spark, sf_dir), schemas.FLAT)
+    encoded = _encoded(_log(spark, sf_dir), envelope)
+    topic = F.lit("changes") if topic is None else topic
     damaged = (
         F.when(kind == "ERROR", F.substring(value, F.lit(1), F.length(value) - 5))
         .when(kind == "SIGNUP", F.concat(F.lit("["), value, F.lit("]")))
@@ -435,7 +441,7 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "CLICK", F.replace(value, F.lit('"uuid"'), F.lit('"id"')))
         .otherwise(value)
     )
-    return encoded.select(damaged.alias("value"), "offset", F.lit("changes").alias("topic"))
+    return encoded.select(damaged.alias("value"), "offset", topic.alias("topic"))
 
 
 @query
@@ -444,6 +450,106 @@ def quarantine_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("raw", "error", F.col("offset").alias("seq"))
 
 
+def _outcomes(landed: dict[str, DataFrame], quarantined: DataFrame) -> DataFrame:
+    """Where every record went: a table's name, or the reason against it."""
+    found = quarantined.select(F.col("error").alias("outcome"), F.col("offset").alias("seq"))
+    for name, rows in landed.items():
+        found = found.unionByName(rows.select(F.lit(name).alias("outcome"), F.col("offset").alias("seq")))
+    return found
+
+
+@query
+def quarantine_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged rows of both tables: each lands by date or in the quarantine."""
+    root = work_folder(spark, "topics")
+    topic = _by_table(schemas.ROW_TOPICS)
+    stream.publish_changes(_damaged(spark, sf_dir, schemas.BARE, topic), root)
+    paths = {t: work_folder(spark, t) for t in TABLES}
+    run.finish_all([
+        replicate.replicate_rows_by_date(
+            spark, t, root, paths[t], work_folder(spark, "checkpoint"), every=None, once=True
+        )
+        for t in TABLES
+    ])
+    landed = {
+        t: tables.read_table(
+            spark, paths[t],
+            T.StructType(schemas.table_schema(t, zoned=True).fields + schemas.POSITION.fields),
+        )
+        for t in TABLES
+    }
+    bad = [
+        tables.read_table(spark, f"{paths[t]}_quarantine", replicate.QUARANTINED) for t in TABLES
+    ]
+    return _outcomes(landed, bad[0].unionByName(bad[1]))
+
+
+@query
+def quarantine_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of which two in five are damaged."""
+    samples = fixtures.host_samples(fixtures.events(spark, sf_dir))
+    records = _metric_records(samples, ["timestamp", "hostname", "cpu_percent", "memory_percent"])
+    kind, value = F.col("offset") % 5, F.col("value")
+    damaged = (
+        F.when(kind == 0, F.substring(value, F.lit(1), F.length(value) - 3))
+        .when(kind == 1, F.concat(F.lit("["), value, F.lit("]")))
+        .otherwise(value)
+    )
+    root = work_folder(spark, "topics")
+    stream.publish_changes(records.withColumn("value", damaged), root)
+    path, checkpoint = work_folder(spark, "metrics"), work_folder(spark, "checkpoint")
+    run.finish_all(
+        [replicate.replicate_metrics(spark, root, path, checkpoint, every=None, once=True)]
+    )
+    schema = T.StructType(schemas.HOST_METRICS.fields + schemas.POSITION.fields)
+    return _outcomes(
+        {"landed": tables.read_table(spark, path, schema)},
+        tables.read_table(spark, f"{path}_quarantine", replicate.QUARANTINED),
+    )
+
+
+@query
+def quarantine_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic for both tables, with damaged events and events without a row."""
+    encoded = _encoded(_log(spark, sf_dir), schemas.NESTED)
+    kind, value = F.col("event_id"), F.col("value")
+    changed = (
+        F.when(kind == "ERROR", F.substring(value, F.lit(1), F.length(value) - 5))
+        .when(kind == "SIGNUP", F.concat(value, value))
+        .when(kind == "VIEW", F.concat(F.lit('{"action":"'), "operation", F.lit('","data":null}')))
+        .otherwise(value)
+    )
+    topic = F.lit(schemas.SHARED_TOPIC)
+    root = work_folder(spark, "topics")
+    stream.publish_changes(
+        encoded.select(changed.alias("value"), "offset", topic.alias("topic")), root
+    )
+    lake, checkpoint = work_folder(spark, "lake"), work_folder(spark, "checkpoint")
+    run.finish_all([replicate.replicate_shared_topic(spark, root, lake, checkpoint, once=True)])
+    landed = {t: replicate.read_change_log(spark, lake, t) for t in TABLES}
+    landed["no_data"] = tables.read_table(spark, f"{lake}/no_data", replicate.WITHOUT_DATA)
+    return _outcomes(
+        landed, tables.read_table(spark, f"{lake}/quarantine", replicate.QUARANTINED)
+    )
+
+
+@query
+def unforwarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notifications that are forwarded, and those that should be and cannot be."""
+    encoded = _encoded(_log(spark, sf_dir), schemas.WRAPPED)
+    kind, value = F.col("event_id"), F.col("value")
+    changed = (
+        F.when(kind == "ERROR", F.substring(value, F.lit(1), F.length(value) - 5))
+        .when(kind == "SIGNUP", F.concat(F.lit("["), value, F.lit("]")))
+        .when(kind == "VIEW", F.regexp_replace(value, '"table":"(robot|teleop)"', '"table":"other"'))
+        .when(kind == "CLICK", F.replace(value, F.lit('"INSERT"'), F.lit('"BOGUS"')))
+        .otherwise(value)
+    )
+    sent = encoded.select(changed.alias("value"), "offset")
+    forwarded = replicate.forward_inserts(sent).where(F.col("topic").isNotNull())
+    return _outcomes({"forwarded": forwarded}, replicate.unforwarded(sent))
+
+
 @query
 def decode_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.decode_report(decode.parse_flat(_damaged(spark, sf_dir)))

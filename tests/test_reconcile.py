@@ -84,6 +84,17 @@ def test_unreadable_is_skipped_and_a_missing_column_is_an_error(spark, source, f
     }
 
 
+def test_values_that_the_source_computed(spark, source):
+    stats = R.table_stats(source, "t", "source")
+    values = {r.check_name: r.value for r in stats.collect()}
+    computed = spark.createDataFrame([tuple(values.values())], list(values))
+    assert verdicts(spark, R.Computed(computed), source) == all_of(R.PASS)
+    counted = computed.select(R.ROW_COUNT)
+    assert verdicts(spark, lambda: R.Computed(counted), source) == all_of(R.ERROR, row_count=R.PASS)
+    wrong = computed.withColumn(R.ROW_CHECKSUM, F.lit("0:0"))
+    assert verdicts(spark, R.Computed(wrong), source) == all_of(R.PASS, row_checksum=R.FAIL)
+
+
 def test_a_table_of_one_side_only(spark, source):
     results = R.reconcile(spark, {"a": source, "b": source}, {"a": source})
     found = {(r.table, r.verdict) for r in results.collect()}

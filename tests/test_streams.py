@@ -160,6 +160,7 @@ def test_nested_events_split_by_presence(spark, log, fresh):
     # A record without a row must not count as a robot row.
     assert landed_robot(spark, f"{lake}/robot") == expected_robot(log)
     assert rows(spark.read.parquet(f"{lake}/quarantine"), "raw") == [("[]",)]
+    assert rows(spark.read.parquet(f"{lake}/no_data"), "operation", "offset") == [("DELETE", 9001)]
 
 
 def test_forwarded_rows_by_date(spark, log, fresh, plan_of):
@@ -213,7 +214,10 @@ def test_metrics(spark, fresh, kind, by_date):
     run.finish_all([query])
     names = schema.fieldNames()
     assert rows(spark.read.schema(schema).parquet(path), *names) == rows(df, *names)
-    folders = glob.glob(f"{path}/*=*")
+    assert rows(spark.read.parquet(f"{path}_quarantine"), "raw", "error") == [
+        ("nonsense", decode.NOT_AN_OBJECT)
+    ]
+    folders = glob.glob(f"{path}/**/*=*", recursive=True)
     assert any("year=" in f for f in folders) == (by_date or kind == "text")
 
 
