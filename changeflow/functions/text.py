@@ -21,6 +21,7 @@ SEPARATOR = "|"
 NULL_MARK = r"\N"
 JSON_TIMESTAMP_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+PLACES = 6  # decimals of a double that has no more
 # ------------------------------------------------------------------------------
 
 
@@ -51,12 +52,21 @@ def _time_text(value: str, dtype: T.DataType) -> str:
     return f"concat(substring({shown}, 1, 19), '.', rpad(substring({shown}, 21, 6), 6, '0'))"
 
 
-def value_text(name: str, dtype: T.DataType, scale: int = 6) -> str:
+def _plain_decimal(shown: str, scale: int) -> str:
+    """Small decimals are printed with an exponent or without, as a session
+    setting says; always without it here."""
+    digits = f"replace(replace(split_part({shown}, 'E', 1), '-', ''), '.', '')"
+    sign = f"CASE WHEN startswith({shown}, '-') THEN '-' ELSE '' END"
+    plain = f"concat({sign}, '0.', lpad({digits}, {scale}, '0'))"
+    return f"CASE WHEN contains({shown}, 'E') THEN {plain} ELSE {shown} END"
+
+
+def value_text(name: str, dtype: T.DataType, scale: int | None = None) -> str:
     """Text of one column's value, NULL kept as NULL.
 
-    Doubles are rounded to ``scale`` decimals because engines print them
-    differently; use ``row_hash`` where exact bits must be compared and Spark
-    reads both sides.
+    A double with at most six decimals is written with six, any other (also NaN
+    and infinity) as Spark prints it: different doubles have different texts.
+    Engines print the others differently; ``scale`` rounds them on request.
     """
     value = quoted(name)
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
@@ -64,7 +74,13 @@ def value_text(name: str, dtype: T.DataType, scale: int = 6) -> str:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return _time_text(value, dtype)
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return f"cast(cast({value} AS decimal(38, {scale})) AS string)"
+        plain = f"try_cast({value} AS decimal(38, {PLACES if scale is None else scale}))"
+        fits = f"{plain} IS NOT NULL"
+        if scale is None:
+            fits += f" AND cast({plain} AS {dtype.simpleString()}) = {value}"
+        return f"CASE WHEN {fits} THEN cast({plain} AS string) ELSE cast({value} AS string) END"
+    if isinstance(dtype, T.DecimalType) and dtype.scale > PLACES:
+        return _plain_decimal(f"cast({value} AS string)", dtype.scale)
     if isinstance(dtype, T.BinaryType):
         return f"hex({value})"
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
@@ -72,7 +88,7 @@ def value_text(name: str, dtype: T.DataType, scale: int = 6) -> str:
     return f"cast({value} AS string)"
 
 
-def row_sql(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6) -> str:
+def row_sql(df: DataFrame, columns: Sequence[str] | None = None, scale: int | None = None) -> str:
     """The row as one text, columns in the given (default: table) order."""
     schema = df.schema
     parts = [
@@ -82,7 +98,7 @@ def row_sql(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6)
     return f"concat_ws('{SEPARATOR}', {', '.join(parts)})"
 
 
-def row_text(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6) -> Column:
+def row_text(df: DataFrame, columns: Sequence[str] | None = None, scale: int | None = None) -> Column:
     return F.expr(row_sql(df, columns, scale))
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import types as T
 
-from changeflow.functions.text import NULL_MARK, SEPARATOR
+from changeflow.functions.text import NULL_MARK, PLACES, SEPARATOR
 from changeflow.operators.quality import SAMPLE_ROWS
 from changeflow.operators.reconcile import (
     CHECKS,
@@ -25,7 +25,7 @@ from changeflow.operators.reconcile import (
 TIMESTAMP_FORMAT = "YYYY-MM-DD HH24:MI:SS.US"
 
 
-def value_sql(name: str, dtype: T.DataType, scale: int = 6) -> str:
+def value_sql(name: str, dtype: T.DataType, scale: int | None = None) -> str:
     """SQL text of one column's value, as ``functions.text.value_text`` writes it."""
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
         return rf"replace(replace({name}, '\', '\\'), '{SEPARATOR}', '\{SEPARATOR}')"
@@ -34,7 +34,13 @@ def value_sql(name: str, dtype: T.DataType, scale: int = 6) -> str:
     if isinstance(dtype, T.TimestampType):
         return f"to_char({name} AT TIME ZONE 'UTC', '{TIMESTAMP_FORMAT}')"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return f"CAST(CAST({name} AS numeric(38, {scale})) AS text)"
+        plain = f"CAST({name} AS numeric(38, {PLACES if scale is None else scale}))"
+        cases = [f"WHEN {name} = '{v}' THEN '{v}'" for v in ("NaN", "Infinity", "-Infinity")]
+        cases.append(f"WHEN abs({name}) >= 1e32 THEN CAST({name} AS text)")
+        if scale is None:
+            of_type = "double precision" if isinstance(dtype, T.DoubleType) else "real"
+            cases.append(f"WHEN CAST({plain} AS {of_type}) <> {name} THEN CAST({name} AS text)")
+        return f"CASE {' '.join(cases)} ELSE CAST({plain} AS text) END"
     if isinstance(dtype, T.BinaryType):
         return f"upper(encode({name}, 'hex'))"
     if isinstance(dtype, (T.IntegralType, T.DecimalType, T.BooleanType, T.DateType)):

@@ -60,6 +60,28 @@ def test_row_text_formats(spark):
     assert text == "1|2.500000|3.10|true|2024-02-29|2024-01-02 03:04:05.000000|01FF|\\N"
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_numbers_that_are_hard_to_print(spark, ansi):
+    doubles = [float("nan"), float("inf"), float("-inf"), None, 1e-9, 2e-9, 1e35, 1e-300, 2.5, 0.0]
+    small = [decimal.Decimal(d) for d in ("0", "0.00000001", "-0.00000012", "1.5")]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for kind in ("double", "float"):
+            given = [d for d in doubles if kind == "double" or d not in (1e-300,)]
+            df = spark.createDataFrame([(d,) for d in given], f"d {kind}")
+            texts = [r[0] for r in df.select(row_text(df)).collect()]
+            assert len(set(texts)) == len(given)
+            assert texts[:4] == ["NaN", "Infinity", "-Infinity", "\\N"] and texts[-2:] == ["2.500000", "0.000000"]
+            rounded = [r[0] for r in df.select(row_text(df, scale=2)).collect()]
+            assert rounded[0] == "NaN" and rounded[4] == rounded[5] == "0.00"
+        df = spark.createDataFrame([(d,) for d in small], "m decimal(20, 8)")
+        assert [r[0] for r in df.select(row_text(df)).collect()] == [
+            "0.00000000", "0.00000001", "-0.00000012", "1.50000000",
+        ]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_row_text_does_not_depend_on_the_session_zone(spark):
     df = spark.sql(
         "SELECT timestamp_ntz'2024-03-31 02:30:00.5' AS n, timestamp_micros(1711848600123456) AS z"

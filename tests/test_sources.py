@@ -156,6 +156,7 @@ def test_source_text_equals_ours(spark):
     data = [
         ("a|b", 1, 2.5, True), ("a\\|b", -7, 0.1, False), ("", 2**40, -3.25, True),
         (None, None, None, None), ("\\N", 0, 1e6, False), ("é😀", 5, 12345.678901, True),
+        ("n", 1, float("nan"), True), ("i", 2, float("inf"), True), ("j", 3, float("-inf"), True),
     ]
     df = spark.createDataFrame(data, "s string, n long, d double, b boolean")
     con = duckdb.connect()
