@@ -21,6 +21,8 @@ URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 ALLOW, BLOCK = "allow", "block"
 MAX_RULES = 10_000
+#: Below a country's label these are no owner's; a list of fixed size, not the whole public suffix list.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "go", "gob", "gouv", "gov", "ne", "net", "nom", "or", "org")
 
 
 @dataclass(frozen=True)
@@ -60,12 +62,36 @@ def longest_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
+def levels(host: Column) -> Column:
+    """The steps from a host up to its registered domain, as an array of src and dst.
+
+    The first step takes off user and port.  A registered domain has two labels, or
+    three below a country's own second level (``SECOND_LEVEL``).  Addresses have none.
+    """
+    name = F.regexp_replace(host, r"^.*@|:[0-9]*$", "")
+    labels = F.split(name, r"\.")
+    n = F.size(labels)
+    country = (F.length(F.get(labels, n - 1)) == 2) & F.get(labels, n - 2).isin(list(SECOND_LEVEL))
+    steps = F.greatest(n - F.when(country, 3).otherwise(2), F.lit(0))
+    names = F.transform(
+        F.sequence(F.lit(0), steps), lambda i: F.array_join(F.slice(labels, i + 1, n), ".")
+    )
+    chain = F.when(name == host, names).otherwise(F.concat(F.array(host), names))
+    pairs = F.transform(
+        F.slice(chain, 1, F.size(chain) - 1),
+        lambda x, i: F.struct(x.alias("src"), F.get(chain, i + 1).alias("dst")),
+    )
+    address = name.rlike(r"^[0-9.]*$") | name.contains("[")
+    return F.when(~address, pairs)
+
+
 def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Distinct links between different hosts: ``src``, ``dst`` and the number of links.
 
-    Links without a host stay on their own and don't count.  A host and the
-    parent domain it hangs under, where that is a host of the table too, count
-    as linked once in each direction, as one owner runs both.
+    Links without a host stay on their own and don't count.  Every host counts as
+    linked once in each direction with the domain it hangs under, and so on up
+    to the registered domain, as one owner runs them all; these domains are
+    nodes whether or not a page is on them.
     """
     links = F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(LINK), 1)
     absolute = F.filter(links, lambda x: x.contains("//"))
@@ -73,9 +99,8 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     found = pages.select(host_of(F.col(url_col)).alias("src"), F.explode(full).alias("link"))
     hosts = found.select("src", host_of(F.col("link")).alias("dst"))
     real = hosts.where((F.col("src") != "") & (F.col("dst") != "") & (F.col("src") != F.col("dst")))
-    own = pages.select(host_of(F.col(url_col)).alias("dst")).distinct()
-    below = own.select(F.col("dst").alias("src"), F.regexp_replace("dst", r"^[^.]*\.", "").alias("dst"))
-    family = below.where(F.col("src") != F.col("dst")).join(own, "dst").select("src", "dst")
+    own = pages.select(host_of(F.col(url_col)).alias("src")).distinct()
+    family = own.select(F.explode(levels(F.col("src"))).alias("_step")).select("_step.*").distinct()
     real = real.unionByName(family).unionByName(family.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return real.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
@@ -99,8 +124,6 @@ def spread(seeds: DataFrame, links: DataFrame, rounds: int = 12, damping: float
     ways = written(ways, "link-shares")
     start = seeds.select("kind", "host", (F.col("start") * (1 - damping)).alias("score"))
     scores = start
-    if ways.isEmpty():
-        return seeds.select("kind", "host", F.col("start").alias("score"))
     for i in range(rounds):
         sent = scores.join(ways, ["kind", "host"]).select(
             "kind", F.col("to").alias("host"), (F.col("score") * F.col("share") * damping).alias("score")

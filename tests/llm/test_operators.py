@@ -149,6 +149,36 @@ def test_distrust_goes_against_links(spark):
     assert found[2][2] == pytest.approx(0.15 * 0.85) and found[4][1] == pytest.approx(0.15 * 0.85)
 
 
+def test_parent_domains_carry_scores_that_no_page_is_on(spark):
+    hosts = ["a.b.bad.net", "m.bad.net", "x.farm.co.uk", "y.other.co.uk", "10.0.0.1", "10.1.0.1", "w.port.org:80"]
+    pages = spark.createDataFrame(
+        [(i, f"http://{h}/{'es' if i == 0 else 'xx'}/1", '<a href="/de">x</a>') for i, h in enumerate(hosts)],
+        "page_id int, url string, html string",
+    )
+    edges = {(r.src, r.dst) for r in url_filter.host_links(pages).collect()}
+    up = {
+        ("a.b.bad.net", "b.bad.net"), ("b.bad.net", "bad.net"), ("m.bad.net", "bad.net"),
+        ("x.farm.co.uk", "farm.co.uk"), ("y.other.co.uk", "other.co.uk"),
+        ("w.port.org:80", "w.port.org"), ("w.port.org", "port.org"),
+    }
+    assert edges == up | {(b, a) for a, b in up}
+    total = Counter(b for _, b in edges)
+    score = start = {"a.b.bad.net": 0.15}
+    for _ in range(12):
+        sent = Counter(start)
+        for a, b in edges:  # distrust goes from dst to src
+            sent[a] += 0.85 * score.get(b, 0) / total[b]
+        score = sent
+    found = {r.host: r for r in url_filter.filter_urls(pages, queries.RULES).collect()}
+    assert {h: r.distrust for h, r in found.items()} == pytest.approx({h: score.get(h, 0) for h in hosts})
+    assert [h for h in hosts if found[h].verdict == "block"] == ["a.b.bad.net", "m.bad.net"]
+
+
+def test_scores_without_links_are_the_recursions(spark):
+    pages = spark.createDataFrame([(1, "http://bad.net/es/1", None)], "page_id int, url string, html string")
+    assert url_filter.filter_urls(pages, queries.RULES).first().distrust == pytest.approx(0.15)
+
+
 # --- 4: chats --------------------------------------------------------------------
 
 
