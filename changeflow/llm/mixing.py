@@ -6,30 +6,44 @@ ceil((j + 1) / w); of the blocks that may go, the one with the earliest deadline
 takes the slot.  With weights that sum to 1 every deadline is kept, so at any
 slot each source is less than one block away from its share.
 
-Weights are whole numbers of slots of a period, after which the schedule
-repeats.  So the driver makes the schedule of one period, whose length is a
-parameter, and the place of each block in it follows by division, in Spark.  A
-source that runs out leaves, and the weights of the others fill the slots: such
-a phase has its own period.  Nothing is dropped and nothing repeated.
+Weights are taken as they are, as exact rationals, and the schedule runs over all
+blocks of all sources: nothing is rounded or repeated.  A source that runs out
+leaves, and the weights of the others fill the slots.  That is part of the same
+schedule: with T(v) = sum of min(w * v, blocks) over the sources, the slots that
+an ideal mixture has given when a source of weight w has had w * v blocks, block j
+has the release floor(T(j / w)) and the deadline ceil(T((j + 1) / w)).
+
+The driver knows the sources' names and counts and makes the schedule in order, a
+range of slots at a time; each range is written as a table, so that its memory
+does not grow with the blocks.  Documents meet their block's row by join.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from bisect import bisect_right
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from itertools import accumulate
+from math import lcm
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from changeflow.session import work_folder
+
 PERIOD = 1000
+#: Slots of the schedule that are written at once.
+RANGE_SLOTS = 1 << 18
 BLOCK_ROWS = 16
 #: Parts of a source in which its documents are ranked side by side.
 PARTS = 256
 
 
 def quotas(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Slots of each source in a period: at least one, by largest remainders."""
+    """Whole slots of each source in a period, for schedules that repeat: at least one, by largest remainders."""
     names = sorted(weights)
     period = max(period, 8 * len(names))
     total = sum(weights.values())
@@ -41,55 +55,89 @@ def quotas(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]
     return given
 
 
-def edf_period(quota: Mapping[str, int]) -> dict[str, np.ndarray]:
-    """The slots that each source's blocks take in a period."""
-    period = sum(quota.values())
-    waiting = [(0, n, 0) for n in quota]  # release, source, block
+def schedule(blocks: Mapping[str, int], weights: Mapping[str, float | Fraction]) -> Iterator[tuple[str, int]]:
+    """The source and its block of every slot, over all blocks of all sources.
+
+    At every slot a source has been given less than one block more or less than
+    an ideal mixture gives it, by the weights themselves.
+    """
+    exact = {n: Fraction(weights[n]) for n in blocks if blocks[n]}
+    if any(w <= 0 for w in exact.values()):
+        raise ValueError("weights are greater than 0")
+    scale = lcm(*(w.denominator for w in exact.values()))
+    share = {n: int(w * scale) for n, w in exact.items()}
+    # Sources by when they run out; those before ``k`` are out in segment k.
+    leaving = sorted(share, key=lambda n: (Fraction(blocks[n], share[n]), n))
+    ends = [Fraction(blocks[n], share[n]) for n in leaving]
+    gone = [0, *accumulate(blocks[n] for n in leaving)]
+    rate = [*accumulate((share[n] for n in reversed(leaving)), initial=0)][::-1]
+    segment = dict.fromkeys(share, 0)
+
+    def ideal(n: str, j: int) -> tuple[int, int]:
+        """T(j / w) as whole slots and a remainder."""
+        k, w = segment[n], share[n]
+        if k < len(ends) and j * ends[k].denominator >= ends[k].numerator * w:
+            k = segment[n] = bisect_right(ends, Fraction(j, w), lo=k)
+        whole, part = divmod(j * rate[k], w)
+        return gone[k] + whole, part
+
+    waiting = [(0, n, 0) for n in sorted(share)]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []  # deadline, source, block
-    slots: dict[str, list[int]] = {n: [] for n in quota}
-    for slot in range(period):
+    for slot in range(gone[-1]):
         while waiting and waiting[0][0] <= slot:
             _, n, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * period // quota[n]), n, j))
+            whole, part = ideal(n, j + 1)
+            heapq.heappush(ready, (whole + (part > 0), n, j))
         deadline, n, j = heapq.heappop(ready)
         if slot >= deadline:
             raise AssertionError(f"a block of {n} is late")
+        yield n, j
+        if j + 1 < blocks[n]:
+            heapq.heappush(waiting, (ideal(n, j + 1)[0], n, j + 1))
+
+
+def edf_period(quota: Mapping[str, int]) -> dict[str, np.ndarray]:
+    """The slots that each source's blocks take in a period."""
+    slots: dict[str, list[int]] = {n: [] for n in quota}
+    for slot, (n, _) in enumerate(schedule(quota, quota)):
         slots[n].append(slot)
-        if j + 1 < quota[n]:
-            heapq.heappush(waiting, ((j + 1) * period // quota[n], n, j + 1))
     return {n: np.array(s) for n, s in slots.items()}
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[dict]:
-    """What each source does in each phase, until all are used up.
-
-    A phase ends with the slot in which a source gives its last block.
-    """
-    left, done, at, out = dict(blocks), {n: 0 for n in blocks}, 0, []
-    while active := {n: weights[n] for n in left if left[n]}:
-        quota = quotas(active, period)
-        plan = edf_period(quota)
-        length = sum(quota.values())
-        last = {n: (left[n] - 1) // quota[n] * length + int(plan[n][(left[n] - 1) % quota[n]]) for n in active}
-        slots = min(last.values()) + 1
-        for n in active:
-            used = slots // length * quota[n] + int(np.searchsorted(plan[n], slots % length))
-            used = min(used, left[n])
-            out.append({
-                "source": n, "first": done[n], "until": done[n] + used, "start": at,
-                "quota": quota[n], "period": length, "slots": plan[n].tolist(),
-            })
-            done[n] += used
-            left[n] -= used
-        at += slots
-    return out
+def plan_of_blocks(
+    spark: SparkSession, rows: Mapping[str, int], weights: Mapping[str, float], block_rows: int,
+    range_slots: int = RANGE_SLOTS,
+) -> DataFrame:
+    """The schedule as a table: source, block, slot, and the position of the block's first row."""
+    blocks = {s: -(-n // block_rows) for s, n in rows.items()}
+    # Only the last block of a source can be short.
+    last = {s: rows[s] - (b - 1) * block_rows for s, b in blocks.items()}
+    path, schema = work_folder(spark, "mixture"), "source string, block bigint, slot bigint, start bigint"
+    slots, at, done = schedule(blocks, weights), 0, 0
+    total = sum(blocks.values())
+    spark.createDataFrame([], schema).write.parquet(path)
+    while done < total:
+        names, numbers, starts = [], [], []
+        for n, j in slots:
+            names.append(n)
+            numbers.append(j)
+            starts.append(at)
+            at += block_rows if j + 1 < blocks[n] else last[n]
+            if len(names) == range_slots:
+                break
+        table = pa.table({
+            "source": pa.array(names, pa.string()), "block": pa.array(numbers, pa.int64()),
+            "slot": pa.array(range(done, done + len(names)), pa.int64()), "start": pa.array(starts, pa.int64()),
+        })
+        spark.createDataFrame(table).write.mode("append").parquet(path)
+        done += len(names)
+    return spark.read.schema(schema).parquet(path)
 
 
 def mix_sources(
     docs: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id",
-    source_col: str = "source", block_rows: int = BLOCK_ROWS, period: int = PERIOD,
-    exponent: float = 0.5,
+    source_col: str = "source", block_rows: int = BLOCK_ROWS, exponent: float = 0.5,
 ) -> DataFrame:
     """The place of every document in the mixture.
 
@@ -99,7 +147,8 @@ def mix_sources(
     block (of its source), slot (of the mixture), position (0-based, all rows).
     A null source is a source of its own, named by an empty text.  Ties and
     repeated rows have places of their own.  The number of sources must fit the
-    driver, which holds their names and counts; rows never pass through it.
+    driver, which holds their names and counts and goes through the blocks in
+    order; rows never pass through it.
     """
     spark = docs.sparkSession
     named = docs.select(
@@ -120,41 +169,9 @@ def mix_sources(
     else:
         least = min(weights.values())
         target = {s: float(weights.get(s, least)) for s in counts}
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    plan = spark.createDataFrame(
-        phases(blocks, target, period) or [],
-        "source string, first bigint, until bigint, start bigint, quota bigint, period bigint, slots array<bigint>",
-    )
-    # The plan has a row per source and phase; documents meet it by source and range of blocks.
-    meets = (
-        (F.col("d.source") == F.col("p.source"))
-        & (F.col("d.block") >= F.col("p.first")) & (F.col("d.block") < F.col("p.until"))
-    )
-    step = F.col("d.block") - F.col("p.first")
-    slot = (
-        F.col("p.start") + F.floor(step / F.col("p.quota")) * F.col("p.period")
-        + F.get("p.slots", (step % F.col("p.quota")).cast("int"))
-    )
-    placed = ranked.alias("d").join(F.broadcast(plan.alias("p")), meets).select(
-        "d.doc_id", "d.source", "d.block", slot.cast("bigint").alias("slot"), "d._rank"
-    )
-    # Only the last block of a source can be short: positions are slots less what those lack.
-    short = {s: b * block_rows - counts[s] for s, b in blocks.items() if b * block_rows > counts[s]}
-    ends = placed.where(F.col("_rank") % block_rows == 0).where(
-        F.col("source").isin(list(short)) if short else F.lit(False)
-    ).groupBy("source").agg(F.max("slot").alias("slot")).collect()
-    gaps = sorted((r.slot, short[r.source]) for r in ends)
-    lacking = spark.createDataFrame(
-        [(f, u, g) for f, u, g in zip(
-            [-1] + [s for s, _ in gaps], [s for s, _ in gaps] + [1 << 62],
-            np.cumsum([0] + [g for _, g in gaps]).tolist(),
-        )],
-        "_from bigint, _until bigint, _gap bigint",
-    )
-    inside = (F.col("slot") > F.col("_from")) & (F.col("slot") <= F.col("_until"))
-    return placed.join(F.broadcast(lacking), inside).select(
-        "doc_id", "source", "block", "slot",
-        (F.col("slot") * block_rows + F.col("_rank") % block_rows - F.col("_gap")).alias("position"),
+    plan = plan_of_blocks(spark, counts, target, block_rows)
+    return ranked.join(plan, ["source", "block"]).select(
+        "doc_id", "source", "block", "slot", (F.col("start") + F.col("_rank") % block_rows).alias("position")
     )
 
 

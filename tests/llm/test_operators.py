@@ -264,6 +264,47 @@ def test_every_prefix_is_within_a_block_of_its_share():
             assert abs(given - Fraction(quota[name] * t, period)) < 1
 
 
+def ideal_mixture(blocks, weights, slot):
+    """What each source has of so many slots if blocks could be divided; who runs out leaves."""
+    given, left = dict.fromkeys(blocks, Fraction(0)), Fraction(slot)
+    while left:
+        open_ = [n for n in blocks if given[n] < blocks[n]]
+        total = sum(Fraction(weights[n]) for n in open_)
+        step = min(left, *((blocks[n] - given[n]) * total / Fraction(weights[n]) for n in open_))
+        for n in open_:
+            given[n] += step * Fraction(weights[n]) / total
+        left -= step
+    return given
+
+
+def test_prefixes_keep_to_the_weights_themselves():
+    hot = {"hot": 1700, **{f"s{i:02}": 85 for i in range(20)}}
+    uneven = {"a": 900, "b": 37, "c": 1, "d": 411}
+    cases = [
+        (hot, {n: float(b) ** 0.5 for n, b in hot.items()}),
+        (uneven, {"a": 0.61803, "b": 0.0002, "c": 0.1, "d": 1 / 3}),
+        ({"a": 3000, "b": 3}, {"a": 0.9998, "b": 0.0002}),
+    ]
+    for blocks, weights in cases:
+        slots = list(mixing.schedule(blocks, weights))
+        assert sorted(slots) == sorted((n, j) for n, b in blocks.items() for j in range(b))
+        given = Counter()
+        for t, (n, j) in enumerate(slots, 1):
+            assert j == given[n]  # in order
+            given[n] += 1
+            if t % 7 == 0 or t > len(slots) - 50:
+                for name, ideal in ideal_mixture(blocks, weights, t).items():
+                    assert abs(given[name] - ideal) < 1
+
+
+def test_ranges_of_the_schedule_follow_each_other(spark):
+    rows = {"a": 50, "b": 7, "c": 1}
+    plan = mixing.plan_of_blocks(spark, rows, {"a": 0.7, "b": 0.2, "c": 0.1}, 4, range_slots=5).orderBy("slot").collect()
+    assert [(r.source, r.block) for r in plan] == list(mixing.schedule({"a": 13, "b": 2, "c": 1}, {"a": 0.7, "b": 0.2, "c": 0.1}))
+    sizes = [min(4, rows[r.source] - 4 * r.block) for r in plan]
+    assert [r.start for r in plan] == [sum(sizes[:i]) for i in range(len(plan))]
+
+
 def test_mixing_places_each_row_once(documents, odd):
     for docs, n in ((documents, documents.count()), (odd, 10)):
         rows = mixing.mix_sources(docs, block_rows=4).collect()
