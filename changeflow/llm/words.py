@@ -1,7 +1,8 @@
 """Words and word shingles of Arrow text columns as 64-bit hashes.
 
 A word is a run of bytes other than space and \\t \\n \\v \\f \\r, after A-Z are
-lower-cased; all else is kept as it is.  Hashes take whole words, so two words or
+lower-cased; all else is kept as it is.  With ``marks`` words also end at ASCII
+punctuation, dashes, curly and angle quotes, bullets and copyright signs.  Hashes take whole words, so two words or
 shingles are taken for equal only if they are equal or their 64 bits collide.
 """
 
@@ -19,6 +20,23 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_MARK = _SPACE.copy()
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+#: The last bytes of marks and spaces of two (after C2) and three bytes (after E2 80).
+_AFTER_C2, _AFTER_E280 = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_AFTER_C2[[0xA0, 0xA9, 0xAB, 0xAE, 0xB7, 0xBB]] = True
+_AFTER_E280[0x90:0xC0] = True
+
+
+def _marks(data: np.ndarray) -> np.ndarray:
+    """Where no word is, if words end at marks."""
+    out = _MARK[data]
+    two = np.flatnonzero((data[:-1] == 0xC2) & _AFTER_C2[data[1:]])
+    three = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80) & _AFTER_E280[data[2:]])
+    for at, n in ((two, 2), (three, 3)):
+        for i in range(n):
+            out[at + i] = True
+    return out
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -52,9 +70,9 @@ class Words:
     ``starts`` and ``ends`` are their places in ``data``, the texts' bytes.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, marks: bool = False) -> None:
         self.data, self.offsets = data, offsets
-        space = _SPACE[data]
+        space = _marks(data) if marks else _SPACE[data]
         before = np.empty(len(data), dtype=bool)
         before[1:] = space[:-1]
         after = np.empty(len(data), dtype=bool)
@@ -83,6 +101,11 @@ class Words:
     def of(self, i: int) -> np.ndarray:
         return self.hashes[self.bounds[i] : self.bounds[i + 1]]
 
+    def place_in_text(self, word: int, i: int) -> int:
+        """Which of text i's runs without spaces the word is in."""
+        run = ~_SPACE[self.data[self.offsets[i] : self.starts[word] + 1]]
+        return int(run[0]) + int((run[1:] & ~run[:-1]).sum()) - 1
+
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of k consecutive words and their bounds by text, in order of place.
 
@@ -110,7 +133,7 @@ class Words:
         return out, bounds[self.bounds]
 
 
-def blocks(column: pa.Array) -> Iterator[tuple[int, Words]]:
+def blocks(column: pa.Array, marks: bool = False) -> Iterator[tuple[int, Words]]:
     """The words of a text column, in blocks of rows; null counts as empty.
 
     Gives the number of the first row with each block.
@@ -132,7 +155,7 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, Words]]:
         to = int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, side="right")) - 1
         to = min(max(to, at + 1), n)
         part = offsets[at : to + 1]
-        yield at, Words(data[part[0] : part[-1]], part - part[0])
+        yield at, Words(data[part[0] : part[-1]], part - part[0], marks)
         at = to
 
 

@@ -492,3 +492,34 @@ def test_licenses_match_brute_force(documents, spark):
         assert [x.name for x in r.licenses] == want, r.doc_id
     assert license_scan.scan_licenses(docs.limit(0)).count() == 0
     assert license_scan.scan_licenses(docs, {}).where("n_licenses > 0").count() == 0
+
+
+def test_licenses_without_marks_in_comments_and_in_full(spark):
+    notices = license_scan.NOTICES
+    comment = "\n".join(f" * {line}" for line in re.findall(r".{1,60}(?:\s|$)", notices["MPL-2.0-header"]))
+    header = re.sub(r"(\S+ \S+ \S+) ", r"\1\n# ", "# " + notices["Apache-2.0-header"].replace('"', "\u201c"))
+    texts = {
+        "released under the MIT License, see below": "MIT",
+        "x (Released under the MIT License) y": "MIT",
+        "so licensed under CC BY-NC 4.0, as said": "CC-BY-NC-4.0",
+        "text. Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0",
+        "// SPDX-License-Identifier: BSD-3-Clause\nint x;": "BSD-3-Clause-spdx",
+        "see the GNU Lesser General Public License version 2.1 or so": "LGPL-2.1-name",
+        "code();\n" + comment: "MPL-2.0-header",
+        header + "\nimport x": "Apache-2.0-header",
+        "word " * 40 + notices["AGPL-3.0-header"]: "AGPL-3.0-header",
+        **{"My project\n" + notices[n]: n for n in notices if n.endswith("-text")},
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    found = {r.doc_id: {x.name: x for x in r.licenses} for r in license_scan.scan_licenses(docs).collect()}
+    for i, (text, name) in enumerate(texts.items()):
+        assert name in found[i], (text[:60], sorted(found[i]))
+    assert found[1]["MIT"].first_word == 1 and found[8]["AGPL-3.0-header"].first_word == 40
+    assert "GPL-2.0-name" not in found[5] and "CC-BY-4.0" not in found[2]
+
+
+def test_short_notices_are_retrieved_by_any_shingle(spark):
+    template = {"t": "one two three four five six seven"}
+    docs = spark.createDataFrame([(1, "one two three four five and six seven"), (2, "two three four five six")], DOCS)
+    found = license_scan.scan_licenses(docs, template, percent=30).orderBy("doc_id").collect()
+    assert [r.licenses[0].containment for r in found] == [pytest.approx(1 / 3)] * 2
