@@ -355,4 +355,31 @@ ORACLE: dict[str, str] = {
     {_sum(TEXT_ALL)} || ':' || CAST({_xor(TEXT_ALL)} AS VARCHAR) AS c FROM live GROUP BY tbl)
 SELECT tbl, n AS source_row_count, n AS target_row_count, c AS source_row_checksum,
   c AS target_row_checksum, TRUE AS matches FROM checked""",
+    "append_stream_all": _with_log(f"SELECT operation, tbl, {ROW}, seq FROM log"),
+    "append_stream_by_date_all": _with_log(f"SELECT tbl, {ROW}, {_PARTS}, seq FROM log"),
+    "append_batches_all": _with_log(f"SELECT operation, tbl, {ROW}, seq FROM log"),
+    "table_checksum_all": _with_log(_checksum("tbl", TEXT_ALL, "log GROUP BY tbl")),
+    "partial_checksum_all": _with_log(
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS tbl, {N} AS sampled_rows, {_sample('t', 'uuid, t')} AS "
+            f"sample_checksum FROM (SELECT uuid, {TEXT_ALL} AS t FROM log WHERE tbl = '{t}' AND "
+            "operation = 'INSERT' ORDER BY uuid, t LIMIT 100)"
+            for t in ("robot", "teleop")
+        )
+    ),
+    "row_hash_all": _with_log(f"SELECT seq, md5({TEXT_ALL}) AS row_hash FROM log"),
+    "topk_by_key_all": _with_log(
+        f"SELECT {ROW} FROM log WHERE operation = 'INSERT' ORDER BY uuid LIMIT 100"
+    ),
+    "trigger_all": _with_log(
+        f"SELECT tbl, CAST(3 AS BIGINT) AS batches, {N} AS row_count FROM log GROUP BY tbl"
+    ),
+    "checkpoint_all": _with_log(f"SELECT operation, tbl, {ROW}, seq FROM log"),
+    "batch_id_all": _with_log(
+        "SELECT tbl, CAST(CASE WHEN operation = 'INSERT' THEN 0 ELSE 1 END AS BIGINT) AS batch_id, "
+        f"{N} AS row_count FROM log GROUP BY 1, 2"
+    ),
+    "output_mode_append_all": _with_log(
+        f"SELECT tbl, operation, {N} AS row_count FROM log GROUP BY tbl, operation"
+    ),
 }

@@ -178,6 +178,62 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(landed, fixtures.ROW_FIELDS)
 
 
+def _of_each(rows_of: Callable[[str], DataFrame]) -> DataFrame:
+    """What both tables' topics give, with the table's name."""
+    parts = [rows_of(t).withColumn("tbl", F.lit(t)) for t in TABLES]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+@query
+def append_stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _publish(spark, sf_dir)
+
+    def landed(table: str) -> DataFrame:
+        records = stream.read_change_stream(spark, schemas.EVENT_TOPICS[table], root, max_per_trigger=1)
+        return _land(spark, decode.accepted(decode.parse_flat(records)))
+
+    return _rows(_of_each(landed), ["tbl", *ROW])
+
+
+@query
+def append_stream_by_date_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _publish(spark, sf_dir, schemas.BARE, _by_table(schemas.ROW_TOPICS))
+
+    def landed(table: str) -> DataFrame:
+        path, checkpoint = work_folder(spark, "by-date"), work_folder(spark, "checkpoint")
+        records = stream.read_change_stream(spark, schemas.ROW_TOPICS[table], root)
+        row = schemas.table_schema(table, zoned=True)
+        rows = decode.project_to_table(
+            decode.accepted(decode.parse_bare(records)), row, schemas.POSITION.fieldNames()
+        )
+        run.finish_all([sinks.append_stream_by_date(rows, path, checkpoint, every=None, once=True)])
+        parts = [T.StructField(p, T.IntegerType()) for p in layout.DATE_PARTS]
+        return tables.read_table(spark, path, T.StructType(row.fields + schemas.POSITION.fields + parts))
+
+    return _of_each(landed).select(
+        "tbl", *[F.col(c).cast("timestamp_ntz").alias(c) if c == "timestamp" else c for c in ROW],
+        *layout.DATE_PARTS,
+        F.col("offset").alias("seq"),
+    )
+
+
+def _landed_in_batches(spark: SparkSession, root: str, files: int | None = None) -> DataFrame:
+    """Both topics, a file per batch, landed to the end."""
+
+    def landed(table: str) -> DataFrame:
+        path, checkpoint = work_folder(spark, "batches"), work_folder(spark, "checkpoint")
+        rows = _event_rows(spark, root, table, per_trigger=1)
+        run.finish_all([sinks.append_batches(rows, path, checkpoint, once=True, files=files)])
+        return tables.read_table(spark, path, replicate.landed_schema(table))
+
+    return _of_each(landed)
+
+
+@query
+def append_batches_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(_landed_in_batches(spark, _publish(spark, sf_dir), files=4), ["tbl", *ROW])
+
+
 def _both_tables(spark: SparkSession, root: str) -> DataFrame:
     parts = [
         replicate.read_change_log(spark, root, t).withColumn("tbl", F.lit(t)) for t in TABLES
@@ -651,6 +707,29 @@ def topk_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.topk_by_key(inserts, columns=[*fixtures.ROW_FIELDS])
 
 
+@query
+def table_checksum_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _of_each(lambda t: quality.table_checksum(_log(spark, sf_dir).where(F.col("table") == t), ROW))
+
+
+@query
+def partial_checksum_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inserts = _log(spark, sf_dir).where(F.col("operation") == schemas.INSERT)
+    return _of_each(lambda t: quality.partial_checksum(inserts.where(F.col("table") == t), columns=ROW))
+
+
+@query
+def row_hash_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _log(spark, sf_dir).withColumnRenamed("offset", "seq")
+    return quality.row_hash(log, ROW, portable=True).select("seq", "row_hash")
+
+
+@query
+def topk_by_key_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inserts = _log(spark, sf_dir).where(F.col("operation") == schemas.INSERT)
+    return quality.topk_by_key(inserts, columns=ROW)
+
+
 def _source_and_target(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Source rows, and the rows recovered from the encoded change log."""
     source = fixtures.source_rows(fixtures.events(spark, sf_dir))
@@ -800,6 +879,14 @@ def trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def trigger_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = _landed_in_batches(spark, _publish(spark, sf_dir))
+    return landed.groupBy("tbl").agg(
+        F.count_distinct("batch_id").alias("batches"), F.count("*").alias("row_count")
+    )
+
+
 def _publish_part(spark: SparkSession, sf_dir: str, root: str, inserts: bool) -> None:
     log = _log(spark, sf_dir)
     is_insert = F.col("operation") == schemas.INSERT
@@ -842,6 +929,38 @@ def output_mode_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.groupBy("operation").agg(F.count("*").alias("row_count"))
 
 
+def _two_starts_all(spark: SparkSession, sf_dir: str, native: bool = False) -> DataFrame:
+    """Both topics: inserts, run; the rest, run again from the checkpoints."""
+    root = work_folder(spark, "topics")
+    paths = {t: (work_folder(spark, "landed"), work_folder(spark, "checkpoint")) for t in TABLES}
+    sink = sinks.append_stream if native else sinks.append_batches
+    shapes = {}
+    for inserts in (True, False):
+        _publish_part(spark, sf_dir, root, inserts)
+        for t in TABLES:
+            rows = _event_rows(spark, root, t)
+            shapes[t] = rows.schema if native else replicate.landed_schema(t)
+            run.finish_all([sink(rows, *paths[t], once=True)])
+    return _of_each(lambda t: tables.read_table(spark, paths[t][0], shapes[t]))
+
+
+@query
+def checkpoint_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(_two_starts_all(spark, sf_dir), ["tbl", *ROW])
+
+
+@query
+def batch_id_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = _two_starts_all(spark, sf_dir)
+    return landed.groupBy("tbl", "batch_id").agg(F.count("*").alias("row_count"))
+
+
+@query
+def output_mode_append_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = _two_starts_all(spark, sf_dir, native=True)
+    return landed.groupBy("tbl", "operation").agg(F.count("*").alias("row_count"))
+
+
 @query
 def run_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables' queries at the same time in one session."""
