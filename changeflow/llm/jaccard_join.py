@@ -287,8 +287,10 @@ def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 own = np.flatnonzero(words[left] == w)
                 a = flat[offsets[left[own]][:, None] + np.arange(w)]
                 b = flat[offsets[right[own]][:, None] + np.arange(w)]
-                double = words[right[own]] > w  # a larger set's sketch may be twice as long
-                b[double] ^= flat[offsets[right[own]][double][:, None] + w + np.arange(w)]
+                times = words[right[own]] // w  # a larger set's sketch is so many times as long
+                for part in range(1, int(times.max())):
+                    more = times > part
+                    b[more] ^= flat[offsets[right[own]][more][:, None] + part * w + np.arange(w)]
                 apart[own] = np.bitwise_count(a ^ b).sum(axis=1)
             near = apart <= (100 - percent) * (n[left] + n[right]) // (100 + percent)
             left, right, apart = left[near], right[near], apart[near]

@@ -432,6 +432,33 @@ def test_components_match_brute_force(spark, percent, k):
     assert found == brute_components(texts, percent, k)
 
 
+def test_sketches_of_much_larger_sets_are_folded(spark):
+    """A linked pair with sketches of 1 and 4 words, its common shingles in the last two."""
+    pool = np.random.default_rng(3).integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    place = (words.mix(pool) >> np.uint64(8)).astype(np.int64) & 255
+    at = {int(p): pool[i] for i, p in enumerate(place)}
+    small = np.array([at[128 + i] for i in range(32)])
+    big = np.concatenate([small, [at[32 + i] for i in range(32)], [at[96]]])
+    rows = [
+        (7, i, i, 2, len(own), bytearray(jaccard_join.whole_sketch(own).tobytes())) for i, own in enumerate((small, big))
+    ]
+    grouped = spark.createDataFrame(rows, "group bigint, id bigint, comp bigint, side int, n bigint, whole binary")
+    found = jaccard_join._candidates(grouped.coalesce(1), 49, False).collect()
+    assert [(r.id, r.hub) for r in found] == [(1, 0)]
+
+
+@pytest.mark.parametrize("percent", [45, 20])
+def test_components_of_low_percents_match_brute_force(spark, percent):
+    draw = np.random.default_rng(9)
+    texts = {}
+    for i in range(60):
+        words_ = [f"g{i // 6}_{j}" for j in range(int(draw.integers(10, 160)))]
+        texts[i] = " ".join(words_)
+    docs = spark.createDataFrame(list(texts.items()), DOCS)
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs, percent, 3).collect()}
+    assert found == brute_components(texts, percent, 3)
+
+
 def test_linked_sets_share_a_key_that_neither_leaves():
     """With any choice of spare keys: more keys are shared than the roomier set may leave."""
     draw = np.random.default_rng(5)
