@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm import (
-    chat_format, digest_index, fingerprints, hidden_markov, jaccard_join, license_scan, mixing,
-    piece_codec, quality_model, url_filter,
+    chat_format, conversation_repair, debruijn, digest_index, fingerprints, hidden_markov, jaccard_join,
+    license_scan, mixing, piece_codec, quality_model, url_filter, whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,11 +93,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_exact_dedup, op3_url_filter, op4_chat_format, op5_fingerprints, op6_mixing,
-        op7_quality, op8_lm_scoring, op9_jaccard_join, op10_license_scan,
+        op7_quality, op8_lm_scoring, op9_jaccard_join, op10_license_scan, op11_substring_dedup,
+        op12_conversation_repair, op13_embedding_whitening,
     )
 }
 
