@@ -225,23 +225,25 @@ def repeated_spans(
         raise ValueError(f"anchors of {anchor} words in windows of {window}")
     known = _identified(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
     pieces = written(_pieces(known, window, anchor), "pieces")
-    ends = pieces.groupBy("anchor").agg(
+    # Written, so that the join's rows come in an exchange of their own, whose hot
+    # keys Spark can split; the same below.
+    ends = written(pieces.groupBy("anchor").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"),
         ((F.min("one") != F.max("one")) | (F.min("two") != F.max("two"))).alias("branching"),
-    ).where("last != source").drop("last")
+    ).where("last != source").drop("last"), "anchors")
     shared = written(pieces.join(ends, "anchor"), "shared")
     result = ["doc_id", "body", "at", "n", "source"]
     straight = shared.where("not branching and doc_id > source").select(result)
 
     piece = ["anchor", "one", "two"]
     forks = shared.where("branching").drop("source", "branching")
-    firsts = forks.groupBy(*piece).agg(F.min("doc_id").alias("source"))
+    firsts = written(forks.groupBy(*piece).agg(F.min("doc_id").alias("source")), "firsts")
     judged = written(forks.join(firsts, piece), "forks")
     whole = judged.where("doc_id > source").select(result)
     edges = written(_branches(known, judged.where("doc_id = source"), window), "edges")
-    edge_firsts = edges.groupBy("one", "two").agg(
+    edge_firsts = written(edges.groupBy("one", "two").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last")
-    ).where("last > source").drop("last")
+    ).where("last > source").drop("last"), "edge-firsts")
     single = edges.join(edge_firsts, ["one", "two"]).where("doc_id > source").select(
         "doc_id", "body", "at", F.lit(1).cast("bigint").alias("n"), "source"
     )
