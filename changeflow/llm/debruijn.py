@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.tables import text_or_empty, written
+from changeflow.llm.tables import bounded_batches, text_or_empty, written
 from changeflow.llm.words import BLOCK_BYTES, Words, mix
 
 WINDOW, ANCHOR = 50, 20
@@ -223,6 +223,7 @@ def repeated_spans(
     """
     if not 0 < anchor <= window:
         raise ValueError(f"anchors of {anchor} words in windows of {window}")
+    bounded_batches(docs.sparkSession)
     known = _identified(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
     pieces = written(_pieces(known, window, anchor), "pieces")
     # Written, so that the join's rows come in an exchange of their own, whose hot

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.llm.tables import bounded_batches
 from changeflow.llm.words import blocks
 
 WORD_FEATURES = 1 << 15
@@ -238,18 +239,20 @@ def score_column(
     """The score of each row of ``docs``, 0 to 1; null text counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    bounded_batches(docs.sparkSession)
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         machine = shared.value
-        for batch in batches:
-            texts, extra = batch[0], _metadata(batch[1:])
+        for texts, *numbers, _ in batches:
+            extra = _metadata([n.to_pandas() for n in numbers])
             out = np.zeros(len(texts))
-            column = pa.array(texts, type=pa.large_string(), from_pandas=True)
-            for first, x in text_features(column, extra):
+            for first, x in text_features(texts, extra):
                 out[first : first + len(x.bounds) - 1] = machine.score(x)
-            yield pd.Series(out)
+            yield pa.array(out)
 
-    return score(F.col(text_col), *[F.col(c).cast("double") for c in metadata])
+    # Of a single column the batches would be bare arrays: a constant makes them tuples.
+    return score(F.col(text_col), *[F.col(c).cast("double") for c in metadata], F.lit(0.0))
 
 
 def score_quality(

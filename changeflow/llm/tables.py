@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.session import work_folder
@@ -24,6 +24,21 @@ def lower_az(text: Column) -> Column:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Bytes of an Arrow batch that goes to a Python worker; Spark's own default is 64 MB.
+BATCH_BYTES, BATCH_SETTING = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets the session send whole texts to Python in batches of ``BATCH_BYTES`` at most.
+
+    A smaller setting of the session stays.
+    """
+    own = spark.conf.get(BATCH_SETTING)
+    number = own[:-1] if own.endswith("b") else own
+    if not number.isdigit() or not 0 < int(number) <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The table, written to the shared folder and read back: computed once, lineage cut.
 
