@@ -3,7 +3,8 @@
 A parity sketch has a bit per hash value, flipped by each shingle; the bits that
 differ between two sketches are at most the shingles that are in one set only.
 Sets with similarity t differ in at most d = (1 - t) / (1 + t) * (|A| + |B|)
-shingles, so of d + 1 + s blocks of a sketch at least s + 1 are the same.
+shingles, so of d + 1 + s blocks of shingles, each xored to 64 bits, at least s + 1
+are the same.
 
 1. Sizes are put in bands.  A set is sketched for its own band and for those
    that a smaller partner may be in, each with the band's number of blocks.  The
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.components import connected_components
-from changeflow.llm.tables import written
+from changeflow.llm.tables import bounded_batches, written
 from changeflow.llm.words import distinct_shingles, mix
 
 #: The largest size of a band over its smallest.
@@ -42,8 +43,8 @@ BAND = 1.5
 PART = 4096
 #: Members beyond which keys count as equally frequent.
 MANY = 200_000
-#: Pairs whose sketches are compared at once.
-PAIRS = 1_000_000
+#: 64-bit words of sketches that are compared at once.
+PAIR_WORDS = 1 << 21
 #: Marks the bands of sets with too many empty blocks.
 SPARSE = 1 << 12
 
@@ -84,12 +85,20 @@ class Bands:
 
 
 def block_sketch(shingles: np.ndarray, band: int, blocks: int) -> np.ndarray:
-    """64 parity bits for each block."""
+    """The xor of the hashes of each block's shingles; 0 for an empty block.
+
+    A shingle that only one of two sets has changes one block.  64 parity bits, one
+    flipped by each shingle, would do as well but for chance: the blocks of two
+    or three shingles of unlike sets have few such patterns and often agree.
+    """
     h = mix(shingles + np.uint64((band + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
     block = ((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-    place = (block.astype(np.int64) << 6) + (h & np.uint64(63)).astype(np.int64)
-    odd = (np.bincount(place, minlength=blocks * 64) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.uint64)
+    order = np.argsort(block)
+    block, h = block[order], mix(h[order] ^ np.uint64(0xC2B2AE3D27D4EB4F))
+    starts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
+    out = np.zeros(blocks, dtype=np.uint64)
+    out[block[starts].astype(np.int64)] = np.bitwise_xor.reduceat(h, starts)
+    return out
 
 
 def block_keys(shingles: np.ndarray, band: int, bands: Bands) -> list[tuple[int, np.ndarray]]:
@@ -157,7 +166,7 @@ def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
                         key_ids.append(np.full(len(found), i, dtype=np.int64))
                         rooms.append(np.full(len(found), room, dtype=np.int64))
                         held += len(found)
-                if held > 500_000:
+                if held > 50_000:
                     yield _keys_batch(key_ids, keys, rooms)
                     key_ids, keys, rooms, held = [], [], [], 0
             if keys:
@@ -272,10 +281,10 @@ def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
         place = number * (1 << 40) + n
         until = np.searchsorted(place, number * (1 << 40) + n * 100 // percent, side="right")
         partners = until - np.arange(len(n)) - 1
-        ends = np.cumsum(partners)
+        ends = np.cumsum(partners * words)
         at, found = 0, []
         while at < len(n):
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, side="right")))
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIR_WORDS, side="right")))
             mine = partners[at:to]
             left = np.repeat(np.arange(at, to), mine)
             step = np.arange(len(left)) - np.repeat(np.cumsum(mine) - mine, mine)
@@ -343,13 +352,17 @@ def _firsts(a: np.ndarray, b: np.ndarray, apart: np.ndarray, keys: int) -> tuple
 def _torn(needed: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """The members of keys that are in different components, by groups of bounded size.
 
-    A key with more members than ``PART`` is cut into parts; each row goes to the
-    group of its part with every other one.  Side 2 marks a group of one part.
+    Two similar sets share many keys, so most keys have the members of another one:
+    of keys with the same members, by two digests of 64 bits, one is enough.  A key
+    with more members than ``PART`` is cut into parts; each row goes to the group of
+    its part with every other one.  Side 2 marks a group of one part.
     """
     members = needed.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     torn = members.groupBy("key").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members")
-    ).where("low != high")
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two"),
+    ).where("low != high").groupBy("one", "two", "members").agg(F.min("key").alias("key"))
+    torn = written(torn, "torn-keys")
     parts = F.ceil(F.col("members") / PART).cast("int")
     mixed = members.join(torn.select("key", parts.alias("parts")), "key").join(sets, "id")
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
@@ -446,6 +459,7 @@ def jaccard_components(
     link; so has a row with a null id, whose component_id is null.  Rows that
     repeat an id must repeat its text; each has the same answer.
     """
+    bounded_batches(docs.sparkSession)
     bands = Bands(percent)
     whole = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     named = whole.where(F.col("id").isNotNull())
