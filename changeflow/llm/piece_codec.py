@@ -18,13 +18,19 @@ import hashlib
 import heapq
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.llm.tables import bounded_batches
+
 MARK = "▁"
 #: Words kept per worker, and the longest that is kept.
 CACHE_WORDS, CACHE_CHARS = 150_000, 64
@@ -68,7 +74,12 @@ class PieceCodec:
         number = {name: i for i, name in enumerate(names)}
         #: A last symbol stands for signs that no piece has; it pairs with none.
         self._symbols = len(names) + 1
-        self._of_sign = {name: i for name, i in number.items() if len(name) == 1}
+        #: The symbol of each code point, and the code points that a symbol has.
+        self._of_sign = np.full(0x110000, self._symbols - 1, dtype=np.int32)
+        for name, i in number.items():
+            if len(name) == 1:
+                self._of_sign[ord(name)] = i
+        self._signs = [len(name) for name in names] + [1]
         self._id_of = np.array([self.pieces[n][1] if n in self.pieces else -1 for n in names] + [-1])
         ranks = {score: r for r, score in enumerate(sorted({s for s, _ in self.pieces.values()}, reverse=True))}
         found = sorted(
@@ -93,11 +104,11 @@ class PieceCodec:
     def _side_by_side(self, words: list[str]) -> list[list[int]]:
         """Ids of words of nearly the same length, with the agenda in a matrix."""
         unknown = self._symbols - 1
-        width = max(map(len, words))
-        of_sign = self._of_sign
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        width = int(lengths.max())
         symbols = np.full((len(words), width), -1, dtype=np.int32)
-        for i, word in enumerate(words):
-            symbols[i, : len(word)] = [of_sign.get(c, unknown) for c in word]
+        signs = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        symbols[np.arange(width) < lengths[:, None]] = self._of_sign[signs]
         done: list[list[int]] = [[]] * len(words)
         rows = np.arange(len(words))
         # A negative symbol fills up the row: its keys are those of no pair.
@@ -112,6 +123,9 @@ class PieceCodec:
             lengths = (over >= 0).sum(axis=1).tolist()
             for row, own, n in zip(rows[~live].tolist(), ids.tolist(), lengths):
                 done[row] = own[:n]
+            for at in np.flatnonzero((ids == -1).any(axis=1)):
+                row = int(rows[~live][at])
+                done[row] = self._with_bytes(words[row], over[at, : lengths[at]].tolist())
             if not live.all():
                 rows, symbols, ranks, best = rows[live], symbols[live], ranks[live], best[live]
                 here = np.arange(len(rows))
@@ -129,23 +143,32 @@ class PieceCodec:
                 ok = np.flatnonzero((first >= 0) & (first < wide - 2))
                 a, b = symbols[ok, first[ok]], symbols[ok, first[ok] + 1]
                 ranks[ok, first[ok]] = self._look_up(a, np.where(b < 0, unknown, b))[0]
-        for i, ids in enumerate(done):
-            if -1 in ids:  # a sign that is no piece: by its bytes, as the agenda does at its end
-                done[i] = self._agenda(words[i])
         return done
 
+    def _with_bytes(self, word: str, symbols: list[int]) -> list[int]:
+        """The ids of a word's last symbols; a sign that is no piece has those of its bytes."""
+        ids: list[int] = []
+        at = 0
+        for symbol in symbols:
+            own = int(self._id_of[symbol])
+            if own >= 0:
+                ids.append(own)
+            else:
+                ids.extend(self.bytes[b] for b in word[at].encode())
+            at += self._signs[symbol]
+        return ids
+
     def _encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word as it is, its marks included."""
         out: list[list[int]] = [[]] * len(words)
-        groups: dict[int, list[int]] = {}
-        for i, word in enumerate(words):
-            group = next((n for n in LENGTHS if len(word) <= n), 0)
-            groups.setdefault(group, []).append(i)
-        for group, members in groups.items():
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        groups = np.searchsorted(LENGTHS, lengths)
+        for group in np.unique(groups):
+            members = np.flatnonzero(groups == group).tolist()
             for at in range(0, len(members), 4096):
                 part = members[at : at + 4096]
                 own = [words[i] for i in part]
-                found = self._side_by_side(own) if group else map(self._agenda, own)
+                found = self._side_by_side(own) if group < len(LENGTHS) else map(self._agenda, own)
                 for i, ids in zip(part, found):
                     out[i] = ids
         return out
@@ -215,13 +238,14 @@ class PieceCodec:
         A full cache becomes the old one, from which words in use are taken back.
         """
         kept, old = self._kept, self._old
-        missing = {w for words in texts for w in words if w not in kept}
+        met = set(chain.from_iterable(texts))
+        missing = [w for w in met if w not in kept]
         if not missing:
             return {}
         if len(kept) + len(missing) > CACHE_WORDS:
             self._old, self._kept = kept, {}
             old, kept = kept, self._kept
-            missing = {w for words in texts for w in words}
+            missing = list(met)
         new = []
         for word in missing:
             if word in old:
@@ -229,11 +253,14 @@ class PieceCodec:
             else:
                 new.append(word)
         found = self._entries(new)
-        kept.update((w, e) for w, e in found.items() if len(w) <= CACHE_CHARS)
-        return {w: e for w, e in found.items() if len(w) > CACHE_CHARS}
+        long = {w: e for w, e in found.items() if len(w) > CACHE_CHARS}
+        for word in long:
+            del found[word]
+        kept.update(found)
+        return long
 
     def _entry(self, ids: list[int]) -> Entry:
-        return " ".join([self._decimal[i] for i in ids]), tuple(ids)
+        return " ".join(map(self._decimal.__getitem__, ids)), tuple(ids)
 
     def _entries(self, words: list[str]) -> dict[str, Entry]:
         """The words as if each followed a space, checked against the library."""
@@ -261,11 +288,11 @@ class PieceCodec:
             long = self._learn(words)
             kept = self._kept
             for text, own in zip(texts[at:to], words):
-                entries = [kept[w] if w in kept else long[w] for w in own]
-                ids = [i for e in entries for i in e[1]]
+                entries = [kept[w] if w in kept else long[w] for w in own] if long else [kept[w] for w in own]
+                ids = list(chain.from_iterable(map(itemgetter(1), entries)))
                 if self.check == "texts":
                     self._compare([text], [ids])
-                yield " ".join([e[0] for e in entries]), ids
+                yield " ".join(map(itemgetter(0), entries)), ids
             at = to
 
     def encode(self, text: str, end: bool = True) -> list[int]:
@@ -312,17 +339,21 @@ def decode_column(ids: Column, model_file: str) -> Column:
 def digest_column(text: Column, model_file: str, check: str = "words") -> Column:
     """Number of ids with the end id, digest of the ids, digest of the decoded text."""
 
-    @F.pandas_udf(RESULT)
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(RESULT)
+    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(model_file, check)
         end = str(own.library.eos_id())
         for batch in batches:
-            rows = []
-            for text, ids in own.encode_texts(["" if t is None else t for t in batch]):
+            counts, of_ids, of_texts = [], [], []
+            for text, ids in own.encode_texts(pc.fill_null(batch, "").to_pylist()):
                 ids.append(own.library.eos_id())
-                decoded = own.decode(ids)
-                rows.append((len(ids), _digest(f"{text} {end}" if text else end), _digest(decoded)))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                counts.append(len(ids))
+                of_ids.append(_digest(f"{text} {end}" if text else end))
+                of_texts.append(_digest(own.decode(ids)))
+            yield pa.StructArray.from_arrays(
+                [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())],
+                names=["n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     return digests(text)
 
@@ -336,6 +367,7 @@ def piece_digests(
     One row per row of ``docs``, repeated rows and null ids included; null text
     counts as empty, whose only id is the end.  Other columns are left out.
     """
+    bounded_batches(docs.sparkSession)
     packed = docs.select(
         F.col(id_col).alias("doc_id"),
         digest_column(F.col(text_col), model_file, check).alias("codec"),
