@@ -383,3 +383,34 @@ SELECT tbl, n AS source_row_count, n AS target_row_count, c AS source_row_checks
         f"SELECT tbl, operation, {N} AS row_count FROM log GROUP BY tbl, operation"
     ),
 }
+
+
+# --- logs of whole batches, landed in three parts of the event ids --------------
+
+ORACLE["batch_commit"] = _with_log(f"SELECT operation, tbl, {ROW}, seq FROM log")
+ORACLE["compact_log"] = ORACLE["batch_commit"]
+ORACLE["dedupe_overlaps"] = ORACLE["batch_commit"]
+ORACLE["incremental_state"] = f"WITH {LIVE} SELECT tbl, {ROW}, seq FROM live"
+
+
+def _live_before(bound: str) -> str:
+    """The live rows after the changes before an event id."""
+    return LIVE.replace("ORDER BY seq DESC) AS rn FROM log)", f"ORDER BY seq DESC) AS rn FROM log WHERE seq < {bound})")
+
+
+def _part_end(i: int) -> str:
+    return f"(SELECT min(event_id) + (max(event_id) - min(event_id) + 1) * {i} // 3 FROM events)"
+
+
+ORACLE["reconcile_at_position"] = " UNION ALL ".join(
+    f"""SELECT {i} AS position, tbl, check_name, source_value, verdict FROM (
+    {CHECKED.replace(LIVE, _live_before(_part_end(i)))}) c"""
+    for i in (1, 2)
+)
+
+# The first sign of a key decides the fault: 0 taken out of the source, 1 another
+# event id there, 2 a copy of the row there under the key spelled backwards.
+ORACLE["differing_rows"] = f"""WITH {LIVE} SELECT * FROM (
+  SELECT tbl, CASE WHEN left(uuid, 1) = '2' THEN reverse(uuid) ELSE uuid END AS uuid,
+    CASE left(uuid, 1) WHEN '0' THEN 'extra' WHEN '1' THEN 'changed' WHEN '2' THEN 'missing' END AS difference
+  FROM live) d WHERE difference IS NOT NULL"""

@@ -1091,3 +1091,7 @@ def replicated_matches_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         F.every(F.col("verdict") == reconcile.PASS).alias("matches"),
     )
+
+
+# The queries over logs of whole batches register themselves here.
+from changeflow import log_queries  # noqa: E402, F401
