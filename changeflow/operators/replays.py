@@ -59,5 +59,5 @@ def dedupe_overlaps(log: DataFrame, positions: DataFrame) -> DataFrame:
     apart = log.join(overlaps, BATCH, "left_anti")
     met = log.join(overlaps, BATCH, "left_semi").withColumn("_batch", F.xxhash64("query_id", "batch_id"))
     winners = met.select(*RECORD, "_batch").groupBy(*RECORD).agg(F.min("_batch").alias("_batch"))
-    kept = met.join(winners, [*RECORD, "_batch"], "left_semi").drop("_batch")
-    return apart.unionByName(kept)
+    kept = met.join(winners, [*RECORD, "_batch"], "left_semi")
+    return apart.unionByName(kept.drop("_batch")).select(*log.columns)

@@ -52,7 +52,7 @@ def newer_rows(spark: SparkSession, root: str, table: str, folded: Mapping[str,
     """A table's rows of whole batches after ``folded`` (query id to batch id); other folders are not read."""
     log = read_or_empty(spark, f"{root}/{LOG}", LANDED).where((F.col(TABLE) == table) & _newer_than(folded))
     ids = whole_ids(spark, root).where(_newer_than(folded))
-    return log.select(*landed_columns(table)).join(ids, ["query_id", "batch_id"], "left_semi")
+    return log.join(ids, ["query_id", "batch_id"], "left_semi").select(*landed_columns(table))
 
 
 def _state_rows(spark: SparkSession, state: str, schema: T.StructType, written: Mapping[int, int]) -> DataFrame:

@@ -135,7 +135,8 @@ def read_whole(spark: SparkSession, root: str, table: str) -> DataFrame:
     ids are broadcast by their size.
     """
     log = read_or_empty(spark, f"{root}/{LOG}", LANDED).where(F.col(TABLE) == table)
-    return log.select(*landed_columns(table)).join(whole_ids(spark, root), list(BATCH_COLUMNS), "left_semi")
+    found = log.join(whole_ids(spark, root), list(BATCH_COLUMNS), "left_semi")
+    return found.select(*landed_columns(table))
 
 
 def last_positions(positions: DataFrame) -> DataFrame:
