@@ -18,7 +18,7 @@ from changeflow.queries import ROW, _encoded, _log, query
 from changeflow.schemas import TABLES
 from changeflow.session import work_folder
 from changeflow.sources import stream
-from changeflow.streaming import run, sinks, whole
+from changeflow.streaming import deltas, run, sinks, whole
 
 PARTS = 3
 
@@ -162,3 +162,25 @@ def differing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         found.append(rows.select(F.lit(t).alias("tbl"), "uuid", "difference"))
     return found[0].unionByName(found[1])
+
+
+@query
+def counter_delta_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counter differences across micro-batches, cut within every host's series."""
+    source, path, kept, checkpoint = _folders(spark, "samples", "deltas", "readings", "checkpoint")
+    samples = fixtures.host_samples(fixtures.events(spark, sf_dir))
+    time = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `timestamp`)")
+    timed = samples.withColumn("_at", time)
+    low, high = timed.agg(F.min("_at"), F.max("_at")).first()
+    counters = ["disk_read_total", "disk_write_total"]
+    for i in range(PARTS):
+        after, upto = (low + (high - low + 1) * j // PARTS for j in (i, i + 1))
+        part = timed.where((F.col("_at") >= after) & (F.col("_at") < upto)).drop("_at")
+        part.write.mode("append").parquet(source)
+        stream_ = spark.readStream.schema(samples.schema).parquet(source)
+        run.finish_all([deltas.stream_counter_delta(
+            stream_, path, kept, checkpoint, counters, order=["timestamp", "offset"], once=True
+        )])
+    return deltas.read_deltas(spark, path, samples.schema, counters).select(
+        "hostname", "disk_read_total_delta", "disk_write_total_delta", F.col("offset").alias("seq")
+    )

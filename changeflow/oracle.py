@@ -414,3 +414,5 @@ ORACLE["differing_rows"] = f"""WITH {LIVE} SELECT * FROM (
   SELECT tbl, CASE WHEN left(uuid, 1) = '2' THEN reverse(uuid) ELSE uuid END AS uuid,
     CASE left(uuid, 1) WHEN '0' THEN 'extra' WHEN '1' THEN 'changed' WHEN '2' THEN 'missing' END AS difference
   FROM live) d WHERE difference IS NOT NULL"""
+
+ORACLE["counter_delta_stream"] = ORACLE["counter_delta"]

@@ -628,7 +628,7 @@ def unwrap_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def counter_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = fixtures.host_samples(fixtures.events(spark, sf_dir))
     counters = ["disk_read_total", "disk_write_total"]
-    deltas = metrics.counter_delta(samples, counters, order=["timestamp", "offset"])
+    deltas = metrics.counter_delta_by_time(samples, counters, order=["timestamp", "offset"])
     return deltas.select(
         "hostname", "disk_read_total_delta", "disk_write_total_delta", F.col("offset").alias("seq")
     )

@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from changeflow.operators.metrics import counter_delta
+from changeflow.operators.metrics import counter_delta, counter_delta_by_time
+from changeflow.streaming.deltas import land_deltas, read_deltas
 from tests.conftest import rows
 
 SCHEMA = "hostname string, timestamp timestamp_ntz, offset long, total long"
@@ -60,3 +61,42 @@ def test_a_busy_host_is_spread(spark, fresh):
     assert found.agg(F.sum("total_delta"), F.count("total_delta")).first() == (3999 * 2, 3999)
     sizes = [r["count"] for r in spark.read.parquet(folder).groupBy("_slice").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 1500
+
+
+@pytest.mark.parametrize("width", [1, 7, 600, 10**6])
+def test_deltas_by_time_span(spark, width):
+    """Spans without samples, a host in one span, NULL hosts and times; one exchange of the samples."""
+    data = samples(width)
+    df = spark.createDataFrame(data, SCHEMA).repartition(6)
+    found = counter_delta_by_time(df, ["total"], order=["timestamp", "offset"], width=width)
+    assert rows(found, "offset", "total_delta") == brute_force(data)
+    assert found.columns == [*df.columns, "total_delta"]
+
+
+def test_deltas_by_time_need_one_exchange_of_the_samples(spark, plan_of):
+    df = spark.createDataFrame(
+        [(*r, "p") for r in samples(2)], SCHEMA + ", payload string"
+    )
+    plan = plan_of(counter_delta_by_time(df, ["total"], order=["timestamp", "offset"]))
+    # Of four exchanges one has samples: the others bring combined readings by span,
+    # then by host, then back to their spans.
+    assert plan.count("Exchange hashpartitioning") == 4 and "rangepartitioning" not in plan
+    window = plan[: plan.index("Window [row_number")] if "Window [row_number" in plan else plan
+    assert window.count("Exchange hashpartitioning") == 0
+
+
+def test_null_times_come_first(spark):
+    df = spark.createDataFrame([("a", None, 0, 5), ("a", dt.datetime(2024, 1, 1), 1, 9)], SCHEMA)
+    found = counter_delta_by_time(df, ["total"], order=["timestamp", "offset"])
+    assert rows(found, "offset", "total_delta") == [(0, None), (1, 4)]
+
+
+def test_batches_carry_the_last_reading(spark, fresh):
+    path, kept = fresh("deltas"), fresh("kept")
+    data = sorted(samples(9, 200), key=lambda r: (r[1], r[2]))
+    for number, at in enumerate(range(0, 200, 50)):
+        batch = spark.createDataFrame(data[at : at + 50], SCHEMA)
+        for _ in range(2):  # delivered twice
+            land_deltas(batch, path, kept, "q", number, ["total"], order=["timestamp", "offset"])
+    schema = spark.createDataFrame([], SCHEMA).schema
+    assert rows(read_deltas(spark, path, schema, ["total"]), "offset", "total_delta") == brute_force(data)
