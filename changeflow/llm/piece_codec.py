@@ -14,12 +14,13 @@ by word or text by text; a difference is an error, never a silent result.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
-from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -39,12 +40,24 @@ BLOCK_CHARS = 1_500_000
 #: Words are put side by side with others of up to the same of these lengths.
 LENGTHS = (4, 7, 10, 13, 16, 20, 25, 32, 48, CACHE_CHARS)
 
-#: The decimal ids of a word or text, joined by a space, and the ids.
-Entry = tuple[str, Sequence[int]]
+#: The ids of a word.
+Entry = Sequence[int]
 
 RESULT = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
+@contextmanager
+def _without_collections() -> Iterator[None]:
+    """Many new lists and no cycles: looking for garbage among them would cost a tenth of the time."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class PieceCodec:
     """Ids of texts by the vocabulary of a SentencePiece model file."""
 
@@ -259,16 +272,13 @@ class PieceCodec:
         kept.update(found)
         return long
 
-    def _entry(self, ids: list[int]) -> Entry:
-        return " ".join(map(self._decimal.__getitem__, ids)), tuple(ids)
-
     def _entries(self, words: list[str]) -> dict[str, Entry]:
         """The words as if each followed a space, checked against the library."""
         ids = self._encode_words([MARK + w for w in words])
         if self.check == "words":
             # The library puts a mark before each word itself, but gives none for an empty text.
             self._compare([w.replace(MARK, " ") for w in words], ids, skip_empty=True)
-        return {w: self._entry(i) for w, i in zip(words, ids)}
+        return dict(zip(words, ids))
 
     def _compare(self, texts: list[str], ids: list[list[int]], skip_empty: bool = False) -> None:
         told = self.library.encode(texts, num_threads=1)
@@ -276,7 +286,7 @@ class PieceCodec:
             if own != theirs and not (skip_empty and text == ""):
                 raise ValueError(f"ids differ from the library's for {text[:80]!r}")
 
-    def encode_texts(self, texts: list[str]) -> Iterator[Entry]:
+    def encode_texts(self, texts: list[str]) -> Iterator[tuple[str, list[int]]]:
         """Of each text the decimal ids, joined by a space, and the ids; without an end id."""
         at = 0
         while at < len(texts):
@@ -285,14 +295,15 @@ class PieceCodec:
                 size += len(texts[to])
                 to += 1
             words = [self._words(t) for t in texts[at:to]]
-            long = self._learn(words)
+            with _without_collections():
+                long = self._learn(words)
             kept = self._kept
             for text, own in zip(texts[at:to], words):
                 entries = [kept[w] if w in kept else long[w] for w in own] if long else [kept[w] for w in own]
-                ids = list(chain.from_iterable(map(itemgetter(1), entries)))
+                ids = list(chain.from_iterable(entries))
                 if self.check == "texts":
                     self._compare([text], [ids])
-                yield " ".join(map(itemgetter(0), entries)), ids
+                yield " ".join(map(self._decimal.__getitem__, ids)), ids
             at = to
 
     def encode(self, text: str, end: bool = True) -> list[int]:

@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from changeflow.llm import (
@@ -91,6 +92,17 @@ def test_piece_digests(odd):
     assert piece_codec.piece_digests(odd.limit(0), public_tokenizers.path(queries.VOCABULARY)).count() == 0
 
 
+def test_digests_of_all_documents_are_the_librarys(spark, small, documents):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(queries.VOCABULARY))
+    want = set()
+    for row in documents.select("doc_id", "text").collect():
+        ids = library.encode(row.text or "") + [library.eos_id()]
+        shown = (" ".join(map(str, ids)), library.decode(ids))
+        want.add((row.doc_id, len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in shown)))
+    got = queries.op1_sentencepiece(spark, small).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert {tuple(r) for r in got.collect()} == want
+
+
 # --- 2: exact dedup --------------------------------------------------------------
 
 
