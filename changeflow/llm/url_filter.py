@@ -140,10 +140,11 @@ def filter_urls(
 ) -> DataFrame:
     """The verdict on every url: page_id, host, path, rule, verdict, trust, distrust.
 
-    ``rule`` is null where none fits; then a host is blocked if distrust is more
+    Hosts are seeds of both kinds, by the share of their urls that rules allow and
+    block.  ``rule`` is null where none fits; then a host is blocked if distrust is more
     than ``threshold`` of its trust and distrust together.  A null url or one
     without ``://`` has empty host and path and is allowed unless a rule fits.
-    One row per row of ``pages``, repeated rows included; null html has no links.
+    One row per row of ``pages``, repeated rows included; null html has no links; an empty table gives no rows.
     """
     judged = pages.select(
         F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"),
@@ -154,15 +155,14 @@ def filter_urls(
         F.count_if(F.col("found.verdict") == ALLOW).alias("allowed"),
         F.count_if(F.col("found.verdict") == BLOCK).alias("blocked"),
     )
-    kinds = hosts.select(
-        "host", "urls",
-        F.when(F.col("allowed") * 2 > F.col("urls"), ALLOW)
-        .when(F.col("blocked") * 2 > F.col("urls"), BLOCK).alias("kind"),
-    ).where(F.col("kind").isNotNull())
-    totals = kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("total"))
+    kinds = hosts.select("host", F.inline(F.array(
+        F.struct(F.lit(ALLOW).alias("kind"), (F.col("allowed") / F.col("urls")).alias("part")),
+        F.struct(F.lit(BLOCK).alias("kind"), (F.col("blocked") / F.col("urls")).alias("part")),
+    ))).where("part > 0")
+    totals = kinds.groupBy("kind").agg(F.sum("part").alias("total"))
     seeds = written(
         kinds.join(F.broadcast(totals), "kind")  # one row per kind
-        .select("kind", "host", (1 / F.col("total")).alias("start")),
+        .select("kind", "host", (F.col("part") / F.col("total")).alias("start")),
         "host-seeds",
     )
     links = written(host_links(pages, url_col, html_col), "host-links")
