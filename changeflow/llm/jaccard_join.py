@@ -457,7 +457,8 @@ def jaccard_components(
     row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id
     that links reach).  A text without words, or null, has no shingle and no
     link; so has a row with a null id, whose component_id is null.  Rows that
-    repeat an id must repeat its text; each has the same answer.
+    repeat an id must repeat its text; each has the same answer.  Ids are whole numbers.
+    An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     bands = Bands(percent)
@@ -509,8 +510,10 @@ def keep_one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, all columns as they are.
 
-    Rows with a null id stay.
+    Rows with a null id stay, and so do rows that repeat a kept one.  Extra columns may
+    have any name.  Ids are whole numbers.  An empty table gives no rows.
     """
     found = jaccard_components(docs, percent, k, id_col, text_col)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("id")).distinct()
+    packed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.struct("*").alias("row"))
+    return packed.join(gone, "id", "left_anti").select("row.*")

@@ -142,7 +142,8 @@ def mix_sources(
     """The place of every document in the mixture.
 
     ``weights`` are target shares by source; a source that it lacks gets the
-    least of them.  Without it a source of n rows has weight n ** ``exponent``,
+    least of them, and all get the same if it is empty; a weight that is not above 0 is
+    an error.  Without it a source of n rows has weight n ** ``exponent``,
     which favours small ones.  One row per row of ``docs``: doc_id, source,
     block (of its source), slot (of the mixture), position (0-based, all rows).
     A null source is a source of its own, named by an empty text.  Ties and
@@ -167,7 +168,7 @@ def mix_sources(
     if weights is None:
         target = {s: float(n) ** exponent for s, n in counts.items()}
     else:
-        least = min(weights.values())
+        least = min(weights.values(), default=1.0)
         target = {s: float(weights.get(s, least)) for s in counts}
     plan = plan_of_blocks(spark, counts, target, block_rows)
     return ranked.join(plan, ["source", "block"]).select(
@@ -178,10 +179,16 @@ def mix_sources(
 def in_mixed_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **how) -> DataFrame:
     """All rows and columns of ``docs``, sorted by their place in the mixture.
 
-    Written, its files follow each other in the order of the mixture.
+    Written, its files follow each other in the order of the mixture.  Rows that
+    share an id, or have none, follow each other at the first place that one of
+    them has, ordered by a hash of their columns but maps and variants; rows equal in
+    all of these are in no order.  Extra columns may have any name.  An empty table
+    gives no rows.
     """
-    places = mix_sources(docs, id_col=id_col, source_col=source_col, **how).select(
-        F.col("doc_id").alias("_id"), F.col("position").alias("_position")
-    ).groupBy("_id").agg(F.min("_position").alias("_position"))
-    placed = docs.join(places, F.col(id_col).eqNullSafe(F.col("_id")))
-    return placed.orderBy("_position").select(*docs.columns)
+    places = mix_sources(docs, id_col=id_col, source_col=source_col, **how).groupBy(
+        F.col("doc_id").alias("id")
+    ).agg(F.min("position").alias("position"))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    packed = docs.select(F.col(id_col).alias("own"), F.xxhash64(*hashed).alias("tie"), F.struct("*").alias("row"))
+    placed = packed.join(places, F.col("own").eqNullSafe(F.col("id")))
+    return placed.orderBy("position", "tie").select("row.*")

@@ -116,15 +116,49 @@ def test_exact_dedup(odd):
     assert left.columns == odd.columns and left.count() == 7
 
 
-def test_index_keeps_earlier_deliveries(spark, odd):
-    index = digest_index.DigestIndex(spark, "digest_index_test")
-    try:
-        digest_index.exact_dedup(odd.where("doc_id = 1"), index=index).count()
-        later = digest_index.exact_dedup(odd.where("doc_id IN (2, 8)"), index=index).collect()
-        assert {(r.doc_id, r.keep_id, r.kept) for r in later} == {(2, 1, False), (8, 8, True)}
-        assert index.read().count() == 2
-    finally:
-        index.drop()
+def test_index_keeps_earlier_deliveries(spark, odd, fresh):
+    index = digest_index.DigestIndex(spark, fresh())
+    digest_index.exact_dedup(odd.where("doc_id = 1"), index=index).count()
+    later = digest_index.exact_dedup(odd.where("doc_id IN (2, 8)"), index=index).collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in later} == {(2, 1, False), (8, 8, True)}
+    assert index.read().count() == 2
+    index.close()
+
+
+def test_index_lives_on_in_another_session(spark, odd, fresh):
+    path, other = fresh(), spark.newSession()
+    first = digest_index.DigestIndex(spark, path, buckets=4)
+    digest_index.exact_dedup(odd.where("doc_id IN (1, 5)"), index=first).count()
+    first.close()
+    again = digest_index.DigestIndex(other, path, buckets=64)
+    assert again.exists() and again.buckets == 4
+    docs = other.createDataFrame([(9, "a B C d e"), (10, "new")], DOCS)
+    for _ in range(2):  # a run that is done again finds what has landed
+        rows = digest_index.exact_dedup(docs, index=again).collect()
+        assert {(r.doc_id, r.keep_id, r.kept) for r in rows} == {(9, 1, False), (10, 10, True)}
+        assert again.read().count() == 3
+    plan = again.read().join(docs.select(F.unhex(F.sha2("text", 256)).alias("digest")).hint("merge"), "digest")
+    assert "SelectedBucketsCount: 4 out of 4" in plan._jdf.queryExecution().executedPlan().toString()
+    again.close()
+
+
+def test_first_append_that_failed_leaves_an_empty_index(spark, odd, fresh):
+    index = digest_index.DigestIndex(spark, fresh(), buckets=4)
+    bad = digest_index.with_digest(odd).withColumn("doc_id", F.raise_error("lost").cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        index.append_new(bad)
+    again = digest_index.DigestIndex(spark, index.path)
+    assert again.read().count() == 0
+    rows = digest_index.exact_dedup(odd, index=again).collect()
+    assert sum(r.kept for r in rows) == 7
+    index.close()
+    again.close()
+
+
+def test_the_query_leaves_no_table_in_the_catalog(spark, odd):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert digest_index.exact_dedup(odd).count() == 10
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 # --- 3: urls ---------------------------------------------------------------------
@@ -186,6 +220,16 @@ def test_parent_domains_carry_scores_that_no_page_is_on(spark):
     assert [h for h in hosts if found[h].verdict == "block"] == ["a.b.bad.net", "m.bad.net"]
 
 
+def test_hosts_are_seeds_by_their_share_of_ruled_urls(spark):
+    urls = ["http://mixed.net/es/1", "http://mixed.net/x", "http://mixed.net/y", "http://good.com/a", "http://part.com/b", "http://clean.org/z"]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id int, url string, html string")
+    found = {r.page_id: r for r in url_filter.filter_urls(pages, queries.RULES).collect()}
+    # One host has blocked urls, a third of its own, so it holds all distrust; no majority is asked for.
+    assert found[1].distrust == pytest.approx(0.15) and found[1].trust == 0
+    assert [found[i].verdict for i in range(6)] == ["block", "block", "block", "allow", "allow", "allow"]
+    assert found[3].trust == found[4].trust == pytest.approx(0.15 / 2) and found[5].trust == 0
+
+
 def test_scores_without_links_are_the_recursions(spark):
     pages = spark.createDataFrame([(1, "http://bad.net/es/1", None)], "page_id int, url string, html string")
     assert url_filter.filter_urls(pages, queries.RULES).first().distrust == pytest.approx(0.15)
