@@ -45,8 +45,12 @@ PART = 4096
 MANY = 200_000
 #: 64-bit words of sketches that are compared at once.
 PAIR_WORDS = 1 << 21
-#: Marks the bands of sets with too many empty blocks.
-SPARSE = 1 << 12
+#: Marks the bands of sets with too many empty blocks; bands are below it, as sets are below BAND ** 64.
+SPARSE = 1 << 6
+#: The high bits of a key have its band and the mark, the low ones its hash.
+HASH_BITS = 57
+#: Keys that a task gathers before it packs them by the task they go to.
+PACKED = 1 << 19
 
 
 class Bands:
@@ -101,13 +105,15 @@ def block_sketch(shingles: np.ndarray, band: int, blocks: int) -> np.ndarray:
     return out
 
 
-def block_keys(shingles: np.ndarray, band: int, bands: Bands) -> list[tuple[int, np.ndarray]]:
-    """(room, keys) of a set in a band; the low 40 bits of room are the keys it may do without.
+def block_keys(shingles: np.ndarray, band: int, bands: Bands) -> list[tuple[int, int, np.ndarray]]:
+    """(code, room, keys) of a set in a band; room is the number of keys it may do without.
 
-    Blocks without a bit are the first that a set does without.  A set with more
-    of them than are to spare needs all its other keys, as a partner may count on
-    any of them; two such sets may agree in empty blocks only, so they also have
-    keys of all blocks, apart from the other keys, and do without the spare ones.
+    The code is the band, with ``SPARSE`` for the second kind of keys; it is in the
+    high bits of the keys.  Blocks without a bit are the first that a set does
+    without.  A set with more of them than are to spare needs all its other keys, as
+    a partner may count on any of them; two such sets may agree in empty blocks only,
+    so they also have keys of all blocks, apart from the other keys, and do without
+    the spare ones.
     """
     blocks, spare = bands.blocks(band)
     bits = block_sketch(shingles, band, blocks)
@@ -116,8 +122,13 @@ def block_keys(shingles: np.ndarray, band: int, bands: Bands) -> list[tuple[int,
     filled = keys[bits != 0]
     room = spare - (blocks - len(filled))
     if room >= 0:
-        return [(band << 40 | room, filled)]
-    return [(band << 40, filled), ((band | SPARSE) << 40 | spare, mix(keys ^ np.uint64(SPARSE)))]
+        return [(band, room, _coded(band, filled))]
+    sparse = band | SPARSE
+    return [(band, 0, _coded(band, filled)), (sparse, spare, _coded(sparse, mix(keys ^ np.uint64(SPARSE))))]
+
+
+def _coded(code: int, keys: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(64 - HASH_BITS) | np.uint64(code << HASH_BITS)
 
 
 def whole_sketch(shingles: np.ndarray) -> np.ndarray:
@@ -133,21 +144,28 @@ def whole_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.uint64)
 
 
-def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
-    """The rows (kind, id, key, n, sum, whole) of all documents, in one pass.
+SKETCHES = (
+    "kind tinyint, id bigint, n bigint, sum bigint, other bigint, whole binary, code int, part int, packed binary"
+)
+SETS, ROOMS, KEYS = 0, 1, 2
+
 
-    kind 0: one per document with its size, a digest of its set and its whole
-    sketch.  kind 1: a key of a document; n has its band, and in the low 40 bits
-    how many keys it may do without there.  A set that a task has seen already has
-    no keys again; its digest tells that it is equal.
+def _sketches(docs: DataFrame, k: int, bands: Bands, parts: int) -> DataFrame:
+    """The sketches of all documents, in one pass, as three kinds of rows.
+
+    ``SETS``: one per document with its size n, a digest of its set and its whole
+    sketch.  ``ROOMS``: for an id and the code of its keys, n is the number of keys that
+    it may do without.  ``KEYS``: the keys of many sets that go to one of ``parts`` tasks, packed.
+    A set that a task has seen already has no keys again; its digest tells that it is equal.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int, int]] = set()
+        key_ids, keys, held = [], [], 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
             own_ids, sizes, sums, others, wholes = [], [], [], [], []
-            key_ids, keys, rooms, held = [], [], [], 0
+            room_ids, codes, rooms = [], [], []
             for i, own in zip(ids, distinct_shingles(batch.column(1), k)):
                 n = len(own)
                 first = int(mix(own + np.uint64(1)).sum(dtype=np.uint64)) if n else 0
@@ -161,51 +179,73 @@ def _sketches(docs: DataFrame, k: int, bands: Bands) -> DataFrame:
                     continue
                 seen.add((n, first, second))
                 for band in bands.bands_of(n):
-                    for room, found in block_keys(own, band, bands):
+                    for code, room, found in block_keys(own, band, bands):
+                        room_ids.append(i)
+                        codes.append(code)
+                        rooms.append(room)
                         keys.append(found)
                         key_ids.append(np.full(len(found), i, dtype=np.int64))
-                        rooms.append(np.full(len(found), room, dtype=np.int64))
                         held += len(found)
-                if held > 50_000:
-                    yield _keys_batch(key_ids, keys, rooms)
-                    key_ids, keys, rooms, held = [], [], [], 0
-            if keys:
-                yield _keys_batch(key_ids, keys, rooms)
-            none = pa.nulls(len(own_ids), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.zeros(len(own_ids), np.int8)), pa.array(own_ids, pa.int64()), none,
-                    pa.array(sizes, pa.int64()), _signed(sums), _signed(others), pa.array(wholes, pa.binary()),
-                ],
-                names=NAMES,
-            )
+                if held > PACKED:
+                    yield _packed(key_ids, keys, parts)
+                    key_ids, keys, held = [], [], 0
+            yield _rows(len(own_ids), SETS, id=own_ids, n=sizes, sum=_signed(sums), other=_signed(others), whole=wholes)
+            yield _rows(len(room_ids), ROOMS, id=room_ids, n=rooms, code=codes)
+        if keys:
+            yield _packed(key_ids, keys, parts)
 
-    return docs.mapInArrow(
-        sketch, "kind tinyint, id bigint, key bigint, n bigint, sum bigint, other bigint, whole binary"
-    )
+    return docs.mapInArrow(sketch, SKETCHES)
 
 
-NAMES = ["kind", "id", "key", "n", "sum", "other", "whole"]
+def _rows(length: int, kind: int, **given: list | np.ndarray) -> pa.RecordBatch:
+    """Rows of a kind; columns that it does without are null."""
+    types = {
+        "id": pa.int64(), "n": pa.int64(), "sum": pa.int64(), "other": pa.int64(), "whole": pa.binary(),
+        "code": pa.int32(), "part": pa.int32(), "packed": pa.binary(),
+    }
+    columns = [pa.array(given[c], t) if c in given else pa.nulls(length, t) for c, t in types.items()]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(length, kind, np.int8)), *columns], names=["kind", *types])
 
 
-def _signed(numbers: list[int]) -> pa.Array:
-    return pa.array(np.array(numbers, dtype=np.uint64).view(np.int64))
+def _signed(numbers: list[int]) -> np.ndarray:
+    return np.array(numbers, dtype=np.uint64).view(np.int64)
 
 
-def _keys_batch(ids: list[np.ndarray], keys: list[np.ndarray], rooms: list[np.ndarray]) -> pa.RecordBatch:
-    key = np.concatenate(keys).view(np.int64)
-    none = pa.nulls(len(key), pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.ones(len(key), np.int8)), pa.array(np.concatenate(ids)), pa.array(key),
-            pa.array(np.concatenate(rooms)), none, none, pa.nulls(len(key), pa.binary()),
-        ],
-        names=NAMES,
-    )
+def _packed(ids: list[np.ndarray], keys: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    """One row for each part that has keys: n keys, then their ids as differences.
+
+    A row of its own would cost a key its id and header in the shuffle, the more the
+    more tasks there are; here ids come in the order of the documents and compress.
+    """
+    key, id_ = np.concatenate(keys), np.concatenate(ids)
+    part = ((mix(key) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    key, id_, part = key[order], id_[order], part[order]
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    bounds = np.append(starts, len(key))
+    cut = [
+        key[a:b].tobytes() + np.diff(id_[a:b], prepend=np.int64(0)).tobytes()
+        for a, b in zip(bounds[:-1], bounds[1:])
+    ]
+    return _rows(len(cut), KEYS, n=np.diff(bounds), part=part[starts].astype(np.int32), packed=cut)
+
+
+def _unpacked(packed: DataFrame, parts: int) -> DataFrame:
+    """The rows (key, id) of packed keys, each part in a task."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.column(0):
+                numbers = np.frombuffer(row.as_buffer(), dtype=np.int64)
+                key, steps = numbers[: len(numbers) // 2], numbers[len(numbers) // 2 :]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.cumsum(steps))], names=["key", "id"])
+
+    dealt = packed.repartitionById(parts, F.col("part")).select("packed")
+    return dealt.mapInArrow(unpack, "key bigint, id bigint")
 
 
-def _shared(keys: DataFrame) -> DataFrame:
-    """The rows (key, id, hub, room, members) of keys with two ids at least.
+def _shared(packed: DataFrame, parts: int) -> DataFrame:
+    """The rows (key, id, hub, members) of keys with two ids at least.
 
     The hub is the smallest id.  Rows come in order of key and id; of a key with
     more than ``MANY`` rows the first are sent on before the last have come, and
@@ -213,12 +253,12 @@ def _shared(keys: DataFrame) -> DataFrame:
     """
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * 3
+        waiting: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * 2
         long_key, long_hub = None, 0
 
-        def sent(key: np.ndarray, id_: np.ndarray, room: np.ndarray) -> pa.RecordBatch:
+        def sent(key: np.ndarray, id_: np.ndarray) -> pa.RecordBatch:
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (id_[1:] != id_[:-1])])
-            key, id_, room = key[new], id_[new], room[new]
+            key, id_ = key[new], id_[new]
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             sizes = np.diff(np.append(starts, len(key)))
             hub, members = np.repeat(id_[starts], sizes), np.minimum(np.repeat(sizes, sizes), MANY)
@@ -226,8 +266,7 @@ def _shared(keys: DataFrame) -> DataFrame:
                 hub[: sizes[0]], members[: sizes[0]] = long_hub, MANY
             several = members > 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(x[several]) for x in (key, id_, hub, room, members)],
-                names=["key", "id", "hub", "room", "members"],
+                [pa.array(x[several]) for x in (key, id_, hub, members)], names=["key", "id", "hub", "members"]
             )
 
         for batch in batches:
@@ -249,15 +288,17 @@ def _shared(keys: DataFrame) -> DataFrame:
         if len(waiting[0]):
             yield sent(*waiting)
 
-    ordered = keys.repartition("key").sortWithinPartitions("key", "id")
-    return ordered.mapInArrow(stars, "key bigint, id bigint, hub bigint, room bigint, members bigint")
+    ordered = _unpacked(packed, parts).sortWithinPartitions("key", "id")
+    return ordered.mapInArrow(stars, "key bigint, id bigint, hub bigint, members bigint")
 
 
-def _needed(shared: DataFrame) -> DataFrame:
+def _needed(shared: DataFrame, rooms: DataFrame) -> DataFrame:
     """The keys that a set can't do without: all but the most frequent ones it has room to leave."""
-    order = Window.partitionBy("id", "room").orderBy(F.col("members").desc(), "key")
-    ranked = shared.withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") > F.col("room").bitwiseAND(F.lit((1 << 40) - 1))).select("key", "id", "hub")
+    room = rooms.groupBy("id", "code").agg(F.max("n").alias("room"))  # repeated rows have the same
+    coded = shared.withColumn("code", F.shiftrightunsigned("key", HASH_BITS).cast("int"))
+    order = Window.partitionBy("id", "code").orderBy(F.col("members").desc(), "key")
+    ranked = coded.join(room, ["id", "code"]).withColumn("rank", F.row_number().over(order))
+    return ranked.where("rank > room").select("key", "id", "hub")
 
 
 def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
@@ -464,16 +505,18 @@ def jaccard_components(
     bands = Bands(percent)
     whole = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     named = whole.where(F.col("id").isNotNull())
-    rows = written(_sketches(whole, k, bands), "sketches")
-    sets = rows.where("kind = 0").select("id", "n", "sum", "other", "whole")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(_sketches(whole, k, bands, parts), "sketches")
+    sets = rows.where(F.col("kind") == SETS).select("id", "n", "sum", "other", "whole")
     real = sets.where("n > 0 AND id IS NOT NULL")
 
     # Equal sets are one class; a class has links to its smallest id.
     classes = real.groupBy("n", "sum", "other").agg(F.min("id").alias("hub"))
     same = real.join(classes, ["n", "sum", "other"]).where("id != hub").select("id", "hub").distinct()
 
-    keys = rows.where("kind = 1 AND id IS NOT NULL").select("key", "id", F.col("n").alias("room"))
-    needed = written(_needed(written(_shared(keys), "shared-keys")), "needed-keys")
+    packed = rows.where(F.col("kind") == KEYS).select("part", "packed")
+    rooms = rows.where(F.col("kind") == ROOMS).select("id", "code", "n")
+    needed = written(_needed(written(_shared(packed, parts), "shared-keys"), rooms), "needed-keys")
     stars = needed.where("id != hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys"))
     best = stars.groupBy("id").agg(F.max_by("hub", F.struct("keys", -F.col("hub"))).alias("hub"))
     unlike = best.join(same, ["id", "hub"], "left_anti")

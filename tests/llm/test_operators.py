@@ -531,17 +531,32 @@ def test_linked_sets_share_a_key_that_neither_leaves():
             checked += 1
             band = bands.band_of(min(len(a), len(b)))
             assert band in bands.bands_of(len(a)) and band in bands.bands_of(len(b))
-            low = (1 << 40) - 1
             of_a, of_b = (jaccard_join.block_keys(x, band, bands) for x in (a, b))
             sparse += len(of_a) > 1 or len(of_b) > 1
             shared = [
-                len(np.intersect1d(keys_a, keys_b)) - max(room_a & low, room_b & low)
-                for room_a, keys_a in of_a for room_b, keys_b in of_b
+                len(np.intersect1d(keys_a, keys_b)) - max(room_a, room_b)
+                for _, room_a, keys_a in of_a for _, room_b, keys_b in of_b
             ]
             assert max(shared) > 0
     assert checked > 1000 and sparse > 20
 
 
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_packed_keys_come_out_as_they_went_in(spark, parts):
+    """Whatever the number of parts, negative and far ids, and a key of all ids."""
+    draw = np.random.default_rng(3)
+    ids = [-(1 << 62), -5, 0, 7, 8, 1 << 62, 3]
+    keys = [np.append(draw.integers(0, 1 << 64, 50, dtype=np.uint64), np.uint64(99)) for _ in ids]
+    of = [np.full(len(k), i, dtype=np.int64) for i, k in zip(ids, keys)]
+    batch = jaccard_join._packed(of, keys, parts)
+    assert batch.num_rows <= parts and max(batch.column("part").to_pylist()) < parts
+    packed = spark.createDataFrame(pa.Table.from_batches([batch])).select("part", "packed")
+    found = {(r.key, r.id) for r in jaccard_join._unpacked(packed, parts).collect()}
+    assert found == {(int(k.view(np.int64)), i) for i, own in zip(ids, keys) for k in own}
+    shared = jaccard_join._shared(packed, parts).collect()
+    assert {(r.key, r.id, r.hub, r.members) for r in shared} == {(99, i, min(ids), len(ids)) for i in ids}
+
+
 def test_odd_components(odd):
     rows = jaccard_join.jaccard_components(odd).collect()
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
