@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow import fixtures, schemas
-from changeflow.operators import decode, differences, encode, reconcile, replays, routing, state
-from changeflow.plans import compact, live
+from changeflow.operators import decode, differences, encode, quality, reconcile, replays, routing, state
+from changeflow.plans import compact, constraints, live
 from changeflow.queries import ROW, _encoded, _log, query
 from changeflow.schemas import TABLES
 from changeflow.session import work_folder
@@ -23,9 +23,9 @@ from changeflow.streaming import deltas, run, sinks, whole
 PARTS = 3
 
 
-def _published(spark: SparkSession, sf_dir: str, root: str) -> Iterator[int]:
+def _published(spark: SparkSession, sf_dir: str, root: str, log: DataFrame | None = None) -> Iterator[int]:
     """Publishes the log part by part, a third of the event ids each; gives the part's number."""
-    log = _log(spark, sf_dir)
+    log = _log(spark, sf_dir) if log is None else log
     records = encode.record_key(
         _encoded(log, schemas.FLAT).withColumn("topic", routing.route_default_teleop(F.col("table")))
     )
@@ -184,3 +184,81 @@ def counter_delta_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deltas.read_deltas(spark, path, samples.schema, counters).select(
         "hostname", "disk_read_total_delta", "disk_write_total_delta", F.col("offset").alias("seq")
     )
+
+
+@query
+def incremental_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations counted fold by fold, with planted ones: no robot, a second insert, long event ids."""
+    root, lake, checkpoint, kept, counts = _folders(spark, "topics", "lake", "checkpoint", "state", "counts")
+    entity, step = F.expr("offset div 3"), F.col("offset") % 3
+    log = _log(spark, sf_dir)
+    log = log.withColumn("robot_id", F.when(F.col("event_id") != "ERROR", F.col("robot_id"))).withColumn(
+        "operation", F.when((step == 1) & (entity % 7 == 0), schemas.INSERT).otherwise(F.col("operation"))
+    )
+    for _ in _published(spark, sf_dir, root, log):
+        _run(spark, root, lake, checkpoint)
+        for t in TABLES:
+            live.fold_landed(spark, lake, t, f"{kept}/{t}", buckets=16)
+            constraints.check_folded(
+                spark, lake, t, f"{kept}/{t}", f"{counts}/{t}", schemas.REQUIRED[t], {"event_id": 5, "uuid": 36}
+            )
+    found = [
+        constraints.read_checks(spark, f"{counts}/{t}").select(
+            F.lit(t).alias("tbl"), "rule", F.col("column").alias("col"), "violations"
+        )
+        for t in TABLES
+    ]
+    return found[0].unionByName(found[1])
+
+
+# --- all tables of a log in one scan ----------------------------------------------
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _log(spark, sf_dir).withColumnsRenamed({"table": "tbl", "offset": "seq"})
+
+
+CHANGE = ["operation", *ROW, "seq"]
+
+
+@query
+def checksum_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.checksum_by_group(_tables(spark, sf_dir), ["tbl"], CHANGE)
+
+
+@query
+def topk_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of every table, all operations, three changes of a key tied."""
+    return quality.topk_by_group(_tables(spark, sf_dir), ["tbl"], columns=CHANGE)
+
+
+@query
+def partial_checksum_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.partial_checksum_by_group(_tables(spark, sf_dir), ["tbl"], columns=CHANGE)
+
+
+# --- fields that a schema does not take --------------------------------------------
+
+
+@query
+def field_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host metrics with readings that are no numbers and a field that the schema lacks."""
+    e = F.col("event_id")
+    samples = fixtures.events(spark, sf_dir).select(
+        F.to_json(F.struct(
+            F.col("ts").alias("timestamp"), F.concat(F.lit("host_"), F.col("user_id") % 5).alias("HostName"),
+            F.when(e % 4 == 0, "n/a").otherwise((F.col("value") / 5).cast("string")).alias("cpu_percent"),
+            F.when(F.col("event_type") == "error", F.col("event_type")).alias("Severity"),
+            (e * 512).alias("disk_io_read"),
+        )).alias("value")
+    )
+    return decode.field_report(samples, schemas.HOST_METRICS)
+
+
+@query
+def unmatched_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat changes read by the robot table's schema keep the operator beside the row."""
+    records = _encoded(_log(spark, sf_dir), schemas.FLAT)
+    names = ["operation", "table", *schemas.table_schema(schemas.ROBOT).fieldNames()]
+    found = decode.keep_unmatched(decode.decode_value(records), names, "value")
+    return found.select(F.col("offset").alias("seq"), F.inline_outer("unmatched")).toDF("seq", "field", "text")

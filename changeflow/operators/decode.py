@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.functions import json_fields as J
+from changeflow.functions.text import quoted
 from changeflow.schemas import (
     BARE,
     ENVELOPES,
@@ -202,6 +203,47 @@ def decode_report(decoded: DataFrame) -> DataFrame:
     return decoded.groupBy(outcome).agg(F.count("*").alias("records"))
 
 
+def keep_unmatched(df: DataFrame, names: Sequence[str], text: str = "raw", into: str = "unmatched") -> DataFrame:
+    """Add the fields of the JSON object in ``text`` that no name matches, whatever their case.
+
+    They are an array of (key, value), keys spelled as given, so that repeated keys stay;
+    empty if all fields match, NULL if the text is not one object.
+    """
+    known = ", ".join("'" + n.lower().replace("'", "\\'") + "'" for n in names)
+    entries = "map_entries(CASE WHEN size(_maps) = 1 THEN _maps[0] END)"
+    parsed = df.withColumn("_maps", F.expr(J.parse_maps(quoted(text))))
+    unknown = F.expr(f"filter({entries}, e -> lower(e.key) NOT IN ({known}))")
+    return parsed.withColumn(into, unknown).drop("_maps")
+
+
+def field_report(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records per field that was not taken as it is: ``field``, ``problem``, ``records``.  Batch only.
+
+    ``not_cast`` counts values that are there and became NULL, ``unknown`` fields that
+    the schema lacks, in lower case.  A record counts once for a field and problem; records
+    that are no JSON object are those of :func:`decode_report`.
+    """
+    names = schema.fieldNames()
+    source = decode_value(records).select(F.col("value").alias("raw"))
+    parsed = J.read_object(keep_unmatched(source, names), "raw", names, "o")
+    lost = [
+        F.when(F.col(f"o.`{f.name}`").isNotNull() & F.col(f"o.`{f.name}`").try_cast(f.dataType).isNull(), f.name)
+        for f in schema.fields if not isinstance(f.dataType, T.StringType)
+    ]
+    unknown = F.coalesce(F.transform("unmatched", lambda e: F.lower(e["key"])), F.expr("CAST(array() AS array<string>)"))
+    found = parsed.select(
+        _problems(F.array(*lost) if lost else F.expr("CAST(array() AS array<string>)"), "not_cast").alias("a"),
+        _problems(unknown, "unknown").alias("b"),
+    )
+    each = found.select(F.inline(F.concat("a", "b")))
+    return each.groupBy("field", "problem").agg(F.count("*").alias("records"))
+
+
+def _problems(fields: Column, problem: str) -> Column:
+    named = F.array_distinct(F.array_compact(fields))
+    return F.transform(named, lambda x: F.struct(x.alias("field"), F.lit(problem).alias("problem")))
+
+
 def flatten(df: DataFrame, column: str) -> DataFrame:
     """Expand a struct column into its fields."""
     return df.select(f"{column}.*")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.functions.text import (
@@ -77,6 +77,43 @@ def partial_checksum(
     return sample.agg(F.count("*").alias("sampled_rows"), F.md5(joined).alias("sample_checksum"))
 
 
+def checksum_by_group(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """Count and checksums over whole rows of every group, in one scan; a row per group and task is exchanged."""
+    columns = list(columns or [c for c in df.columns if c not in by])
+    return df.groupBy(*by).agg(F.count("*").alias("row_count"), *checksum_columns(row_sql(df, columns)))
+
+
+def topk_by_group(
+    df: DataFrame, by: Sequence[str], n: int = SAMPLE_ROWS, key: str = "uuid", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The first ``n`` rows by key of every group, in one scan; the row text breaks ties.
+
+    Each task keeps ``n`` rows of a group before the exchange, as long as ``n`` is below
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; a larger one is refused.
+    """
+    return _first_of_groups(df, by, n, key, columns).drop("_key", "_text", "_rank")
+
+
+def _first_of_groups(df: DataFrame, by: Sequence[str], n: int, key: str, columns: Sequence[str] | None) -> DataFrame:
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n >= limit:
+        raise ValueError(f"{n} rows of a group would be cut after the exchange only: give less than {limit}")
+    columns = list(columns or [c for c in df.columns if c not in by])
+    texts = df.select(*by, *columns, F.col(key).alias("_key"), row_text(df, columns).alias("_text"))
+    first = F.row_number().over(Window.partitionBy(*by).orderBy("_key", "_text"))
+    return texts.withColumn("_rank", first).where(F.col("_rank") <= n)
+
+
+def partial_checksum_by_group(
+    df: DataFrame, by: Sequence[str], n: int = SAMPLE_ROWS, key: str = "uuid", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """:func:`partial_checksum` of every group, in one scan."""
+    joined = F.expr("listagg(_text, '') WITHIN GROUP (ORDER BY _key, _text)")
+    return _first_of_groups(df, by, n, key, columns).groupBy(*by).agg(
+        F.count("*").alias("sampled_rows"), F.md5(joined).alias("sample_checksum")
+    )
+
+
 def row_hash(df: DataFrame, columns: Sequence[str] | None = None, portable: bool = False) -> DataFrame:
     """Add ``row_hash`` over the named columns.
 

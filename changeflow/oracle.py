@@ -416,3 +416,52 @@ ORACLE["differing_rows"] = f"""WITH {LIVE} SELECT * FROM (
   FROM live) d WHERE difference IS NOT NULL"""
 
 ORACLE["counter_delta_stream"] = ORACLE["counter_delta"]
+
+
+def _counted(rule: str, column: str, where: str, table: str) -> str:
+    return (
+        f"SELECT '{table}' AS tbl, '{rule}' AS rule, '{column}' AS col, {N} AS violations "
+        f"FROM faulty WHERE tbl = '{table}' AND {where}"
+    )
+
+
+# A second insert follows a live row: the change before it is its entity's first.
+ORACLE["incremental_checks"] = f"""WITH {LOG}, faulty AS (SELECT tbl, uuid, seq, event_id, "timestamp",
+    teleoperator_id, CASE WHEN event_id <> 'ERROR' THEN robot_id END AS robot_id,
+    seq % 3 = 1 AND (seq // 3) % 7 = 0 AND lag(seq) OVER (PARTITION BY uuid ORDER BY seq) IS NOT NULL AS again FROM log)
+""" + " UNION ALL ".join(
+    [
+        _counted("not_null", c, f'"{c}" IS NULL', t)
+        for t, more in (("robot", ()), ("teleop", ("teleoperator_id",)))
+        for c in ("uuid", "robot_id", "timestamp", "event_id", *more)
+    ]
+    + [
+        _counted(rule, c, where, t)
+        for t in ("robot", "teleop")
+        for rule, c, where in (
+            ("length", "event_id", "length(event_id) > 5"), ("length", "uuid", "length(uuid) > 36"), ("unique", "uuid", "again"),
+        )
+    ]
+)
+
+# --- all tables of a log in one scan ----------------------------------------------
+
+_CHANGE_TEXT = f"concat_ws('|', operation, {TEXT_ALL}, CAST(seq AS VARCHAR))"
+_FIRST = f"""WITH {LOG}, texts AS (SELECT *, {_CHANGE_TEXT} AS t FROM log),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY tbl ORDER BY uuid, t) AS rn FROM texts)"""
+ORACLE["checksum_by_table"] = _with_log(_checksum("tbl", _CHANGE_TEXT, "log GROUP BY tbl"))
+ORACLE["topk_by_table"] = f"{_FIRST} SELECT tbl, operation, {ROW}, seq FROM ranked WHERE rn <= 100"
+ORACLE["partial_checksum_by_table"] = (
+    f"{_FIRST} SELECT tbl, {N} AS sampled_rows, {_sample('t', 'uuid, t')} AS sample_checksum "
+    "FROM ranked WHERE rn <= 100 GROUP BY tbl"
+)
+
+# --- fields that a schema does not take --------------------------------------------
+
+ORACLE["field_report"] = f"""SELECT * FROM (
+  SELECT 'cpu_percent' AS field, 'not_cast' AS problem, {N} AS records FROM events WHERE event_id % 4 = 0
+  UNION ALL SELECT 'severity', 'unknown', {N} FROM events WHERE event_type = 'error') r WHERE records > 0"""
+ORACLE["unmatched_fields"] = _with_log(
+    "SELECT seq, CASE WHEN teleoperator_id IS NOT NULL THEN 'teleoperator_id' END AS field, "
+    "teleoperator_id AS text FROM log"
+)

@@ -48,10 +48,18 @@ def _newer_than(folded: Mapping[str, int]) -> Column:
     return reduce(lambda a, b: a | b, later, other)
 
 
-def newer_rows(spark: SparkSession, root: str, table: str, folded: Mapping[str, int]) -> DataFrame:
-    """A table's rows of whole batches after ``folded`` (query id to batch id); other folders are not read."""
-    log = read_or_empty(spark, f"{root}/{LOG}", LANDED).where((F.col(TABLE) == table) & _newer_than(folded))
-    ids = whole_ids(spark, root).where(_newer_than(folded))
+def newer_rows(
+    spark: SparkSession, root: str, table: str, folded: Mapping[str, int], upto: Mapping[str, int] | None = None
+) -> DataFrame:
+    """A table's rows of whole batches after ``folded`` (query id to batch id), and not after ``upto`` if given.
+
+    Other folders are not read.
+    """
+    wanted = _newer_than(folded)
+    if upto is not None:
+        wanted = wanted & ~_newer_than(upto)
+    log = read_or_empty(spark, f"{root}/{LOG}", LANDED).where((F.col(TABLE) == table) & wanted)
+    ids = whole_ids(spark, root).where(wanted)
     return log.join(ids, ["query_id", "batch_id"], "left_semi").select(*landed_columns(table))
 
 
@@ -104,6 +112,11 @@ def fold_landed(
     return version
 
 
+def state_at(spark: SparkSession, root: str, table: str, state: str, written: Mapping[int, int]) -> DataFrame:
+    """The last change of each key, deletes included, of buckets at their versions."""
+    return _state_rows(spark, state, _schema(spark, root, table), written)
+
+
 def read_state(spark: SparkSession, root: str, table: str, state: str, buckets: Sequence[int] | None = None) -> DataFrame:
     """The live rows, with their bucket; of the given buckets only, if any are.
 
