@@ -245,11 +245,12 @@ def _unpacked(packed: DataFrame, parts: int) -> DataFrame:
 
 
 def _shared(packed: DataFrame, parts: int) -> DataFrame:
-    """The rows (key, id, hub, members) of keys with two ids at least.
+    """The rows (key, id, hub, members, alike) of keys with two ids at least.
 
-    The hub is the smallest id.  Rows come in order of key and id; of a key with
-    more than ``MANY`` rows the first are sent on before the last have come, and
-    its members count as ``MANY``, as for every such key.
+    The hub is the smallest id; alike is a digest of all members.  Rows come in order
+    of key and id; of a key with more than ``MANY`` rows the first are sent on before
+    the last have come, and its members count as ``MANY``, as for every such key; such
+    a key is alike to itself only.
     """
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,11 +263,14 @@ def _shared(packed: DataFrame, parts: int) -> DataFrame:
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             sizes = np.diff(np.append(starts, len(key)))
             hub, members = np.repeat(id_[starts], sizes), np.minimum(np.repeat(sizes, sizes), MANY)
+            digests = np.add.reduceat(mix(id_.view(np.uint64) ^ np.uint64(0x9E6C63D0876A9A35)), starts)
+            alike = np.repeat(digests.view(np.int64), sizes)
             if long_key is not None and key[0] == long_key:
-                hub[: sizes[0]], members[: sizes[0]] = long_hub, MANY
+                hub[: sizes[0]], members[: sizes[0]], alike[: sizes[0]] = long_hub, MANY, long_key
             several = members > 1
             return pa.RecordBatch.from_arrays(
-                [pa.array(x[several]) for x in (key, id_, hub, members)], names=["key", "id", "hub", "members"]
+                [pa.array(x[several]) for x in (key, id_, hub, members, alike)],
+                names=["key", "id", "hub", "members", "alike"],
             )
 
         for batch in batches:
@@ -289,16 +293,22 @@ def _shared(packed: DataFrame, parts: int) -> DataFrame:
             yield sent(*waiting)
 
     ordered = _unpacked(packed, parts).sortWithinPartitions("key", "id")
-    return ordered.mapInArrow(stars, "key bigint, id bigint, hub bigint, members bigint")
+    return ordered.mapInArrow(stars, "key bigint, id bigint, hub bigint, members bigint, alike bigint")
 
 
 def _needed(shared: DataFrame, rooms: DataFrame) -> DataFrame:
-    """The keys that a set can't do without: all but the most frequent ones it has room to leave."""
+    """The keys that a set can't do without: all but the most frequent ones it has room to leave.
+
+    Of a set's keys with the same members only the last is a row, with the number of
+    keys it stands for.  All its members have all these keys, in the same order, and
+    whoever keeps one of them keeps the last, so that it brings the pairs of all.
+    """
     room = rooms.groupBy("id", "code").agg(F.max("n").alias("room"))  # repeated rows have the same
     coded = shared.withColumn("code", F.shiftrightunsigned("key", HASH_BITS).cast("int"))
     order = Window.partitionBy("id", "code").orderBy(F.col("members").desc(), "key")
     ranked = coded.join(room, ["id", "code"]).withColumn("rank", F.row_number().over(order))
-    return ranked.where("rank > room").select("key", "id", "hub")
+    kept = ranked.where("rank > room").groupBy("id", "code", "members", "alike", "hub")
+    return kept.agg(F.max("key").alias("key"), F.count(F.lit(1)).alias("keys")).select("key", "id", "hub", "keys")
 
 
 def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
@@ -390,24 +400,31 @@ def _firsts(a: np.ndarray, b: np.ndarray, apart: np.ndarray, keys: int) -> tuple
     return a[new], b[new], apart[new]
 
 
-def _torn(needed: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """The members of keys that are in different components, by groups of bounded size.
+def _torn(keys: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members (key, id, comp, parts) of keys that are in different components.
 
     Two similar sets share many keys, so most keys have the members of another one:
     of keys with the same members, by two digests of 64 bits, one is enough.  A key
-    with more members than ``PART`` is cut into parts; each row goes to the group of
-    its part with every other one.  Side 2 marks a group of one part.
+    with more members than ``PART`` is to be cut into parts.  Components only grow
+    together, so what is torn later is among what is torn now.
     """
-    members = needed.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    members = keys.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     torn = members.groupBy("key").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"),
         F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two"),
     ).where("low != high").groupBy("one", "two", "members").agg(F.min("key").alias("key"))
-    torn = written(torn, "torn-keys")
-    parts = F.ceil(F.col("members") / PART).cast("int")
-    mixed = members.join(torn.select("key", parts.alias("parts")), "key").join(sets, "id")
+    torn = written(torn.select("key", F.ceil(F.col("members") / PART).cast("int").alias("parts")), "torn-keys")
+    return written(members.join(torn, "key"), "torn-members")
+
+
+def _grouped(torn: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of torn keys with their sketches, by groups of bounded size.
+
+    Each row goes to the group of its part of the key with every other part.  Side 2
+    marks a group of one part.
+    """
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    grouped = mixed.withColumn("own", own).withColumn(
+    grouped = torn.join(sets, "id").withColumn("own", own).withColumn(
         "beside", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     ).select(
         F.xxhash64("key", F.least("own", "beside"), F.greatest("own", "beside")).alias("group"),
@@ -517,7 +534,7 @@ def jaccard_components(
     packed = rows.where(F.col("kind") == KEYS).select("part", "packed")
     rooms = rows.where(F.col("kind") == ROOMS).select("id", "code", "n")
     needed = written(_needed(written(_shared(packed, parts), "shared-keys"), rooms), "needed-keys")
-    stars = needed.where("id != hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys"))
+    stars = needed.where("id != hub").groupBy("id", "hub").agg(F.sum("keys").alias("keys"))
     best = stars.groupBy("id").agg(F.max_by("hub", F.struct("keys", -F.col("hub"))).alias("hub"))
     unlike = best.join(same, ["id", "hub"], "left_anti")
     size = real.select("id", "n").distinct()
@@ -530,9 +547,13 @@ def jaccard_components(
     linked = written(same.unionByName(_verified(named, first, k, percent)), "star-links")
     labels = connected_components(linked)
 
-    sketched = real.select("id", "n", "whole").dropDuplicates(["id"])
+    torn = _torn(needed.select("key", "id"), labels)
+    between = real.select("id", "n", "whole").join(torn.select("id").distinct(), "id", "left_semi")
+    sketched = written(between.dropDuplicates(["id"]), "torn-sets")
     for nearest in (True, False):
-        pairs = _candidates(_torn(needed, labels, sketched), percent, nearest)
+        if not nearest:
+            torn = _torn(torn.select("key", "id"), labels)
+        pairs = _candidates(_grouped(torn, sketched), percent, nearest)
         if nearest:
             pairs = pairs.groupBy("id").agg(F.min_by("hub", F.struct("apart", "hub")).alias("hub"))
         chosen = pairs.select(F.greatest("id", "hub").alias("id"), F.least("id", "hub").alias("hub")).distinct()
