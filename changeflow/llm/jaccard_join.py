@@ -312,23 +312,25 @@ def _needed(shared: DataFrame, rooms: DataFrame) -> DataFrame:
 
 
 def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs (id, hub, apart) of a group whose sketches allow a link between components.
+    """Pairs (id, hub, apart) with a key in a group whose sketches allow a link between components.
 
     With ``nearest`` only one of them for each member, the one least apart.
     """
 
     def compared(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(rows)
-        group, n = table.column("group").to_numpy(), table.column("n").to_numpy()
-        order = np.lexsort((n, group))
-        group, n = group[order], n[order]
+        keys = table.column("keys").combine_chunks()
+        row = np.repeat(np.arange(len(table)), keys.value_lengths().to_numpy())
+        key, group, n = keys.flatten().to_numpy(), table.column("group").to_numpy()[row], table.column("n").to_numpy()[row]
+        sorted_ = np.lexsort((n, key, group))
+        order, key, group, n = row[sorted_], key[sorted_], group[sorted_], n[sorted_]
         ids, comp, side = (table.column(c).to_numpy()[order] for c in ("id", "comp", "side"))
         raw = [w for w in table.column("whole").to_pylist()]
         lengths = np.array([len(w) // 8 for w in raw])
         flat = np.frombuffer(b"".join(raw), dtype=np.uint64)
         offsets = (np.cumsum(lengths) - lengths)[order]
         words = lengths[order]
-        number = np.cumsum(np.concatenate([[0], group[1:] != group[:-1]]))
+        number = np.cumsum(np.concatenate([[0], (group[1:] != group[:-1]) | (key[1:] != key[:-1])]))
         place = number * (1 << 40) + n
         until = np.searchsorted(place, number * (1 << 40) + n * 100 // percent, side="right")
         partners = until - np.arange(len(n)) - 1
@@ -376,11 +378,12 @@ def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
             group = batch.column("group").to_numpy()
             if not len(group):
                 continue
-            rows += len(group)
+            lengths = batch.column("keys").value_lengths().to_numpy()
+            rows += int(lengths.sum())
             cut = int(np.flatnonzero(group != group[-1])[-1]) + 1 if group[0] != group[-1] else 0
             if rows > 200_000 and cut:
                 yield from compared([*held, batch.slice(0, cut)])
-                held, rows = [batch.slice(cut)], len(group) - cut
+                held, rows = [batch.slice(cut)], int(lengths[cut:].sum())
             else:
                 held.append(batch)
         if held:
@@ -401,36 +404,40 @@ def _firsts(a: np.ndarray, b: np.ndarray, apart: np.ndarray, keys: int) -> tuple
 
 
 def _torn(keys: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members (key, id, comp, parts) of keys that are in different components.
+    """The members (key, id, comp, hub, parts) of keys that are in different components.
 
     Two similar sets share many keys, so most keys have the members of another one:
     of keys with the same members, by two digests of 64 bits, one is enough.  A key
-    with more members than ``PART`` is to be cut into parts.  Components only grow
-    together, so what is torn later is among what is torn now.
+    with more members than ``PART`` is to be cut into parts.  The hub is the smallest
+    id.  Components only grow together, so what is torn later is among what is torn now.
     """
     members = keys.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     torn = members.groupBy("key").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"), F.min("id").alias("hub"),
         F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two"),
-    ).where("low != high").groupBy("one", "two", "members").agg(F.min("key").alias("key"))
-    torn = written(torn.select("key", F.ceil(F.col("members") / PART).cast("int").alias("parts")), "torn-keys")
+    ).where("low != high").groupBy("one", "two", "members", "hub").agg(F.min("key").alias("key"))
+    torn = written(torn.select("key", "hub", F.ceil(F.col("members") / PART).cast("int").alias("parts")), "torn-keys")
     return written(members.join(torn, "key"), "torn-members")
 
 
 def _grouped(torn: DataFrame, sets: DataFrame) -> DataFrame:
-    """The members of torn keys with their sketches, by groups of bounded size.
+    """The members of torn keys with their sketches, by groups of keys.
 
-    Each row goes to the group of its part of the key with every other part.  Side 2
-    marks a group of one part.
+    Keys with one hub mostly have the same sets: they go to one group, so that a set's
+    sketch comes once for all of them.  A row is a set in a group, with its keys
+    there, at most as many as the set has blocks.  A set goes to the group of its
+    part of the key with every other part.  Side 2 marks a group of one part.
     """
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    grouped = torn.join(sets, "id").withColumn("own", own).withColumn(
+    placed = torn.repartition("id").withColumn("own", own).withColumn(
         "beside", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     ).select(
-        F.xxhash64("key", F.least("own", "beside"), F.greatest("own", "beside")).alias("group"),
+        F.xxhash64("hub", "parts", F.least("own", "beside"), F.greatest("own", "beside")).alias("group"),
         F.when(F.col("own") == F.col("beside"), 2).when(F.col("own") < F.col("beside"), 0).otherwise(1).alias("side"),
-        "id", "comp", "n", "whole",
+        "id", "comp", "key",
     )
+    keyed = placed.groupBy("id", "group", "side", "comp").agg(F.collect_set("key").alias("keys"))
+    grouped = keyed.join(sets, "id").select("group", "side", "id", "comp", "n", "whole", "keys")
     return grouped.repartition("group").sortWithinPartitions("group", "id")
 
 
