@@ -441,14 +441,16 @@ def _grouped(torn: DataFrame, sets: DataFrame) -> DataFrame:
     return grouped.repartition("group").sortWithinPartitions("group", "id")
 
 
-def _involved(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents that are in a pair.
+def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (doc, ...) whose id is in ``ids`` (distinct, column doc), and a few others.
 
-    A bit map of hashed ids, of fixed size, is sent to the tasks first, so that
-    most other texts are not shuffled; the join after it is exact.
+    A bit map of hashed ids, of fixed size, is sent to the tasks, so that most other
+    rows are not shuffled; a join after it makes the result exact.
     """
+    import pyarrow.compute as pc
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     bits = 1 << 23
-    ids = pairs.select(F.explode(F.array("id", "hub")).alias("doc")).distinct()
     spot = F.pmod(F.xxhash64("doc"), F.lit(bits))
     maps = ids.groupBy((spot / 32768).cast("int").alias("part")).agg(
         F.bitmap_construct_agg((spot % 32768).cast("bigint")).alias("map")
@@ -456,19 +458,25 @@ def _involved(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     flat = np.zeros(bits // 8, dtype=np.uint8)
     for row in maps.collect():  # 1 MB in all
         flat[row.part * 4096 : row.part * 4096 + 4096] = np.frombuffer(row.map, dtype=np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(flat)
+    shared = rows.sparkSession.sparkContext.broadcast(flat)
+    fields = to_arrow_schema(rows.schema)
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
         for batch in batches:
             spots = batch.column("spot").to_numpy()
             hit = (shared.value[spots >> 3] >> (spots & 7).astype(np.uint8)) & 1
             found = batch.filter(pa.array(hit.astype(bool)))
-            yield pa.RecordBatch.from_arrays([found.column("doc"), pc.cast(found.column("text"), pa.string())], names=["doc", "text"])
+            columns = [pc.cast(found.column(f.name), f.type) for f in fields]
+            yield pa.RecordBatch.from_arrays(columns, names=fields.names)
 
-    marked = docs.select(F.col("id").alias("doc"), F.coalesce("text", F.lit("")).alias("text")).withColumn("spot", spot)
-    return marked.mapInArrow(likely, "doc bigint, text string").join(ids, "doc")
+    return rows.withColumn("spot", spot).mapInArrow(likely, rows.schema)
+
+
+def _involved(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of the documents that are in a pair."""
+    ids = pairs.select(F.explode(F.array("id", "hub")).alias("doc")).distinct()
+    marked = docs.select(F.col("id").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    return _likely(marked, ids).join(ids, "doc")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -555,8 +563,9 @@ def jaccard_components(
     labels = connected_components(linked)
 
     torn = _torn(needed.select("key", "id"), labels)
-    between = real.select("id", "n", "whole").join(torn.select("id").distinct(), "id", "left_semi")
-    sketched = written(between.dropDuplicates(["id"]), "torn-sets")
+    between = torn.select(F.col("id").alias("doc")).distinct()
+    sketched = _likely(real.select(F.col("id").alias("doc"), "n", "whole"), between).join(between, "doc")
+    sketched = written(sketched.dropDuplicates(["doc"]).withColumnRenamed("doc", "id"), "torn-sets")
     for nearest in (True, False):
         if not nearest:
             torn = _torn(torn.select("key", "id"), labels)
