@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.components import connected_components
-from changeflow.llm.tables import bounded_batches, written
+from changeflow.llm.tables import bounded_batches, handing_back, written
 from changeflow.llm.words import distinct_shingles, mix
 
 #: The largest size of a band over its smallest.
@@ -159,6 +159,7 @@ def _sketches(docs: DataFrame, k: int, bands: Bands, parts: int) -> DataFrame:
     A set that a task has seen already has no keys again; its digest tells that it is equal.
     """
 
+    @handing_back
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int, int]] = set()
         key_ids, keys, held = [], [], 0
@@ -233,6 +234,7 @@ def _packed(ids: list[np.ndarray], keys: list[np.ndarray], parts: int) -> pa.Rec
 def _unpacked(packed: DataFrame, parts: int) -> DataFrame:
     """The rows (key, id) of packed keys, each part in a task."""
 
+    @handing_back
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.column(0):
@@ -253,6 +255,7 @@ def _shared(packed: DataFrame, parts: int) -> DataFrame:
     a key is alike to itself only.
     """
 
+    @handing_back
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * 2
         long_key, long_hub = None, 0
@@ -371,6 +374,7 @@ def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
                 [pa.array(left), pa.array(right), pa.array(apart)], names=["id", "hub", "apart"]
             )
 
+    @handing_back
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
@@ -461,6 +465,7 @@ def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(flat)
     fields = to_arrow_schema(rows.schema)
 
+    @handing_back
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spots = batch.column("spot").to_numpy()
@@ -497,6 +502,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
     )
     ordered = hubs.unionByName(partners).repartition("hub", "part").sortWithinPartitions("hub", "part", "role")
 
+    @handing_back
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre = np.zeros(0, dtype=np.uint64)
         for batch in batches:

@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.tables import bounded_batches
+from changeflow.llm.tables import bounded_batches, handing_back
 
 MARK = "▁"
 #: Words kept per worker, and the longest that is kept.
@@ -351,6 +351,7 @@ def digest_column(text: Column, model_file: str, check: str = "words") -> Column
     """Number of ids with the end id, digest of the ids, digest of the decoded text."""
 
     @F.arrow_udf(RESULT)
+    @handing_back
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(model_file, check)
         end = str(own.library.eos_id())

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.tables import bounded_batches
+from changeflow.llm.tables import bounded_batches, handing_back
 from changeflow.llm.words import blocks
 
 WORD_FEATURES = 1 << 15
@@ -201,6 +201,7 @@ def fit_quality(
         *[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(metadata)],
     ).join(F.broadcast(chosen), F.col("_id") == F.col("doc_id")).drop("doc_id")  # max_rows rows
 
+    @handing_back
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             extra = _metadata([batch.column(f"_m{i}").to_pandas() for i in range(len(metadata))])
@@ -242,6 +243,7 @@ def score_column(
     bounded_batches(docs.sparkSession)
 
     @F.arrow_udf("double")
+    @handing_back
     def score(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         machine = shared.value
         for texts, *numbers, _ in batches:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +44,26 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
 
 
+def handing_back(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of a Python worker's batches; when they end, the worker's free memory goes back.
+
+    Workers are used again, and an executor's next task, of whatever kind, has to
+    live beside what its workers have kept.
+    """
+
+    @wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The table, written to the shared folder and read back: computed once, lineage cut.
 
