@@ -317,8 +317,11 @@ def _needed(shared: DataFrame, rooms: DataFrame) -> DataFrame:
 def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs (id, hub, apart) with a key in a group whose sketches allow a link between components.
 
-    With ``nearest`` only one of them for each member, the one least apart.
+    With ``nearest`` only one of them for each member, the one least apart.  Rows
+    without ``keys`` have one key per group.
     """
+    if "keys" not in grouped.columns:
+        grouped = grouped.withColumn("keys", F.array(F.lit(0).cast("bigint")))
 
     def compared(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(rows)

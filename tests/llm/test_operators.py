@@ -557,6 +557,39 @@ def test_packed_keys_come_out_as_they_went_in(spark, parts):
     assert {(r.key, r.id, r.hub, r.members) for r in shared} == {(99, i, min(ids), len(ids)) for i in ids}
 
 
+@pytest.mark.parametrize("many", [200_000, 12])
+def test_one_key_for_the_same_members_brings_all_pairs(spark, monkeypatch, many):
+    """Against all keys that a set keeps; with keys whose rows are sent on in parts, too."""
+    monkeypatch.setattr(jaccard_join, "MANY", many)
+    draw = np.random.default_rng(many)
+    groups = [draw.choice(40, draw.integers(1, 25), replace=False) for _ in range(60)]
+    ids, keys, members = [], [], {}
+    for number in range(400):
+        key = np.uint64(int(draw.integers(0, 1 << 50)) | int(draw.integers(3, 5)) << jaccard_join.HASH_BITS)
+        own = groups[draw.integers(0, len(groups))]
+        members[int(key.view(np.int64))] = set(own.tolist())
+        for i in own:
+            ids.append(np.full(1, i, dtype=np.int64))
+            keys.append(np.full(1, key, dtype=np.uint64))
+    rooms = {(i, code): int(draw.integers(0, 30)) for i in range(40) for code in (3, 4)}
+    kept: dict[int, set[int]] = {}
+    for (i, code), room in rooms.items():
+        own = [k for k, m in members.items() if i in m and len(m) > 1 and k >> jaccard_join.HASH_BITS == code]
+        for key in sorted(own, key=lambda k: (-min(len(members[k]), many), k))[room:]:
+            kept.setdefault(key, set()).add(i)
+    packed = spark.createDataFrame(pa.Table.from_batches([jaccard_join._packed(ids, keys, 3)])).select("part", "packed")
+    of_rooms = spark.createDataFrame([(i, code, n) for (i, code), n in rooms.items()], "id bigint, code int, n bigint")
+    rows = jaccard_join._needed(jaccard_join._shared(packed, 3), of_rooms).collect()
+    found: dict[int, set[int]] = {}
+    for r in rows:
+        found.setdefault(r.key, set()).add(r.id)
+        assert r.hub == min(members[r.key])
+    pairs = [{(a, b) for m in by_key.values() for a in m for b in m} for by_key in (kept, found)]
+    assert pairs[0] == pairs[1]
+    assert sum(r["keys"] for r in rows) == sum(map(len, kept.values())) >= len(rows)
+    assert many == 12 or len(rows) < sum(map(len, kept.values())) / 2
+
+
 def test_odd_components(odd):
     rows = jaccard_join.jaccard_components(odd).collect()
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
