@@ -10,9 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def run_many(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
-    """Wait until any query ends; a failed one raises and stops the others."""
+    """Wait until any of the queries ends; a failed one raises and stops the others.
+
+    Other queries of the session do not count, nor do those that have ended before.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while queries and not any(query.awaitTermination(0.5) for query in queries):
+            pass
     finally:
         for query in queries:
             if query.isActive:

@@ -272,6 +272,19 @@ def test_a_failing_query_raises(spark, topics, fresh):
     assert not healthy.isActive
 
 
+def test_a_query_that_failed_before_stops_no_others(spark, topics, fresh):
+    def fail(batch, batch_id):
+        raise RuntimeError("no room")
+
+    failing = robot_rows(spark, topics).writeStream.foreachBatch(fail)
+    failing = failing.option("checkpointLocation", fresh()).start()
+    with pytest.raises(Exception, match="no room"):
+        failing.awaitTermination(60)
+    started = sinks.append_batches(robot_rows(spark, topics), fresh(), fresh(), once=True)
+    run.run_many(spark, [started])
+    assert not started.isActive
+
+
 def test_a_checkpoint_is_required(spark, topics, fresh):
     with pytest.raises(ValueError):
         sinks.append_stream(robot_rows(spark, topics), fresh(), "")
