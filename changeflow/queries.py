@@ -25,6 +25,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ROW = [*fixtures.ROW_FIELDS, *fixtures.OPTIONAL_FIELDS]
+#: Rows of the log that one task publishes, a file per topic.
+FILE_ROWS = 250_000
+#: Files that a split sink keeps at a time.
+KEPT_FILES = 24
 
 
 def query(function: Query) -> Query:
@@ -50,19 +54,30 @@ def _records(spark: SparkSession, sf_dir: str, envelope: str) -> DataFrame:
     return stream.as_records(encode.record_key(routed), timestamp="timestamp")
 
 
+def _files_of_a_batch(rows: DataFrame, batches: int) -> int:
+    """The files per topic of one of ``batches`` equal batches, so that none has many more than ``FILE_ROWS`` rows."""
+    return max(1, -(-rows.count() // (batches * FILE_ROWS)))
+
+
 def _publish(
     spark: SparkSession, sf_dir: str, envelope: str = schemas.FLAT, topic: Column | None = None,
-    files: int = 3,
-) -> str:
-    """Publish the log in ``files`` parts per topic, in offset order."""
-    encoded = _encoded(_log(spark, sf_dir), envelope)
+    batches: int = 3,
+) -> tuple[str, int]:
+    """Publish the log in offset order; the topics' root, and the files per topic of one of ``batches`` batches.
+
+    A task sorts what it publishes by topic, and a file is often read by one task: the
+    files grow in number, not in size.
+    """
+    log = _log(spark, sf_dir)
+    files = _files_of_a_batch(log, batches)
+    encoded = _encoded(log, envelope)
     topic = routing.route_default_teleop(F.col("table")) if topic is None else topic
     records = encode.record_key(encoded.withColumn("topic", topic))
     root = work_folder(spark, "topics")
     stream.publish_changes(
-        records.repartitionByRange(files, "offset"), root, timestamp="timestamp"
+        records.repartitionByRange(batches * files, "offset"), root, timestamp="timestamp"
     )
-    return root
+    return root, files
 
 
 def _by_table(names: dict[str, str]) -> Column:
@@ -94,22 +109,22 @@ def _rows(decoded: DataFrame, columns: Sequence[str] = ROW) -> DataFrame:
 
 @query
 def read_change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir)
+    root, _ = _publish(spark, sf_dir)
     return _texts(_land(spark, stream.read_change_stream(spark, "robot_events", root)))
 
 
 @query
 def read_change_stream_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir)
+    root, files = _publish(spark, sf_dir)
     records = stream.read_change_stream(
-        spark, "teleop_events", root, fail_on_data_loss=False, max_per_trigger=1
+        spark, "teleop_events", root, fail_on_data_loss=False, max_per_trigger=files
     )
     return _texts(_land(spark, records))
 
 
 @query
 def read_change_stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir)
+    root, _ = _publish(spark, sf_dir)
     topics = list(schemas.EVENT_TOPICS.values())
     return _texts(_land(spark, stream.read_change_stream(spark, topics, root)))
 
@@ -137,14 +152,14 @@ def read_source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def append_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir)
-    records = stream.read_change_stream(spark, "robot_events", root, max_per_trigger=1)
+    root, files = _publish(spark, sf_dir)
+    records = stream.read_change_stream(spark, "robot_events", root, max_per_trigger=files)
     return _rows(_land(spark, decode.accepted(decode.parse_flat(records))))
 
 
 @query
 def append_stream_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir, schemas.BARE, _by_table(schemas.ROW_TOPICS))
+    root, _ = _publish(spark, sf_dir, schemas.BARE, _by_table(schemas.ROW_TOPICS))
     path, checkpoint = work_folder(spark, "by-date"), work_folder(spark, "checkpoint")
     records = stream.read_change_stream(spark, schemas.ROW_TOPICS[TELEOP], root)
     rows = decode.project_to_table(
@@ -167,13 +182,13 @@ def append_stream_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir)
-    records = stream.read_change_stream(spark, "robot_events", root, max_per_trigger=1)
+    root, files = _publish(spark, sf_dir)
+    records = stream.read_change_stream(spark, "robot_events", root, max_per_trigger=files)
     rows = decode.project_to_table(
         decode.accepted(decode.parse_flat(records)), schemas.table_schema(ROBOT)
     )
     path, checkpoint = work_folder(spark, "batches"), work_folder(spark, "checkpoint")
-    run.finish_all([sinks.append_batches(rows, path, checkpoint, once=True, files=4)])
+    run.finish_all([sinks.append_batches(rows, path, checkpoint, once=True, files=4 * files)])
     landed = tables.read_table(spark, path, replicate.landed_schema(ROBOT))
     return _rows(landed, fixtures.ROW_FIELDS)
 
@@ -186,10 +201,10 @@ def _of_each(rows_of: Callable[[str], DataFrame]) -> DataFrame:
 
 @query
 def append_stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir)
+    root, files = _publish(spark, sf_dir)
 
     def landed(table: str) -> DataFrame:
-        records = stream.read_change_stream(spark, schemas.EVENT_TOPICS[table], root, max_per_trigger=1)
+        records = stream.read_change_stream(spark, schemas.EVENT_TOPICS[table], root, max_per_trigger=files)
         return _land(spark, decode.accepted(decode.parse_flat(records)))
 
     return _rows(_of_each(landed), ["tbl", *ROW])
@@ -197,7 +212,7 @@ def append_stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def append_stream_by_date_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir, schemas.BARE, _by_table(schemas.ROW_TOPICS))
+    root, _ = _publish(spark, sf_dir, schemas.BARE, _by_table(schemas.ROW_TOPICS))
 
     def landed(table: str) -> DataFrame:
         path, checkpoint = work_folder(spark, "by-date"), work_folder(spark, "checkpoint")
@@ -217,12 +232,12 @@ def append_stream_by_date_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_in_batches(spark: SparkSession, root: str, files: int | None = None) -> DataFrame:
-    """Both topics, a file per batch, landed to the end."""
+def _landed_in_batches(spark: SparkSession, root: str, per_trigger: int, files: int | None = None) -> DataFrame:
+    """Both topics, landed to the end, ``per_trigger`` files per batch."""
 
     def landed(table: str) -> DataFrame:
         path, checkpoint = work_folder(spark, "batches"), work_folder(spark, "checkpoint")
-        rows = _event_rows(spark, root, table, per_trigger=1)
+        rows = _event_rows(spark, root, table, per_trigger)
         run.finish_all([sinks.append_batches(rows, path, checkpoint, once=True, files=files)])
         return tables.read_table(spark, path, replicate.landed_schema(table))
 
@@ -231,7 +246,8 @@ def _landed_in_batches(spark: SparkSession, root: str, files: int | None = None)
 
 @query
 def append_batches_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(_landed_in_batches(spark, _publish(spark, sf_dir), files=4), ["tbl", *ROW])
+    root, files = _publish(spark, sf_dir)
+    return _rows(_landed_in_batches(spark, root, files, files=4 * files), ["tbl", *ROW])
 
 
 def _both_tables(spark: SparkSession, root: str) -> DataFrame:
@@ -244,10 +260,10 @@ def _both_tables(spark: SparkSession, root: str) -> DataFrame:
 @query
 def split_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = F.lit(schemas.SHARED_TOPIC)
-    root = _publish(spark, sf_dir, schemas.NESTED, topic)
+    root, files = _publish(spark, sf_dir, schemas.NESTED, topic)
     lake, checkpoint = work_folder(spark, "lake"), work_folder(spark, "checkpoint")
     started = replicate.replicate_shared_topic(
-        spark, root, lake, checkpoint, once=True, max_per_trigger=1
+        spark, root, lake, checkpoint, once=True, max_per_trigger=min(files, KEPT_FILES)
     )
     run.finish_all([started])
     return _rows(_both_tables(spark, lake), ["tbl", *ROW])
@@ -278,7 +294,7 @@ def init_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def publish_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir)
+    root, _ = _publish(spark, sf_dir)
     records = stream.read_change_batch(spark, list(schemas.EVENT_TOPICS.values()), root)
     return records.select(
         F.col("key").cast("string").alias("record_key"),
@@ -806,11 +822,11 @@ def qa_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def batch_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table, from the counts of every landed batch."""
-    root = _publish(spark, sf_dir)
+    root, files = _publish(spark, sf_dir)
     counted = []
     for t in TABLES:
         records = stream.read_change_stream(
-            spark, schemas.EVENT_TOPICS[t], root, max_per_trigger=1
+            spark, schemas.EVENT_TOPICS[t], root, max_per_trigger=files
         )
         rows = decode.accepted(decode.parse_flat(records))
         path, checkpoint = work_folder(spark, "batches"), work_folder(spark, "checkpoint")
@@ -867,10 +883,10 @@ def _event_rows(spark: SparkSession, root: str, table: str, per_trigger: int | N
 
 @query
 def trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per batch, run to the end: the batches add up to the table."""
-    root = _publish(spark, sf_dir)
+    """A third of the files per batch, run to the end: the batches add up to the table."""
+    root, files = _publish(spark, sf_dir)
     path, checkpoint = work_folder(spark, "landed"), work_folder(spark, "checkpoint")
-    rows = _event_rows(spark, root, ROBOT, per_trigger=1)
+    rows = _event_rows(spark, root, ROBOT, per_trigger=files)
     started = sinks.append_batches(rows, path, checkpoint, once=True)
     run.finish_all([started])
     landed = tables.read_table(spark, path, replicate.landed_schema(ROBOT))
@@ -881,7 +897,8 @@ def trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trigger_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = _landed_in_batches(spark, _publish(spark, sf_dir))
+    root, files = _publish(spark, sf_dir)
+    landed = _landed_in_batches(spark, root, files)
     return landed.groupBy("tbl").agg(
         F.count_distinct("batch_id").alias("batches"), F.count("*").alias("row_count")
     )
@@ -964,7 +981,7 @@ def output_mode_append_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables' queries at the same time in one session."""
-    root = _publish(spark, sf_dir)
+    root, _ = _publish(spark, sf_dir)
     paths = {t: work_folder(spark, t) for t in TABLES}
     started = [
         sinks.append_batches(
@@ -1030,10 +1047,11 @@ def dedupe_replays_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def replicate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _publish(spark, sf_dir)
+    root, files = _publish(spark, sf_dir)
     lake, checkpoint = work_folder(spark, "lake"), work_folder(spark, "checkpoint")
+    most = min(2 * files, KEPT_FILES)
     run.finish_all(
-        [replicate.replicate_events(spark, root, lake, checkpoint, once=True, max_per_trigger=2)]
+        [replicate.replicate_events(spark, root, lake, checkpoint, once=True, max_per_trigger=most)]
     )
     return _rows(_both_tables(spark, lake), ["tbl", *ROW])
 
@@ -1049,10 +1067,11 @@ def replicate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_folder(spark, "topics")
     records = _metric_records(samples, schemas.HOST_METRICS.fieldNames())
     keyed = records.withColumn("key", F.get_json_object("value", "$.hostname"))
-    stream.publish_changes(keyed.repartitionByRange(3, "offset"), root)
+    files = _files_of_a_batch(samples, 3)
+    stream.publish_changes(keyed.repartitionByRange(3 * files, "offset"), root)
     path, checkpoint = work_folder(spark, "metrics"), work_folder(spark, "checkpoint")
     started = replicate.replicate_metrics(
-        spark, root, path, checkpoint, every=None, once=True, max_per_trigger=1
+        spark, root, path, checkpoint, every=None, once=True, max_per_trigger=min(files, KEPT_FILES)
     )
     run.finish_all([started])
     schema = T.StructType(
@@ -1065,7 +1084,7 @@ def replicate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replicate through the stream, then compare with the source rows."""
-    root = _publish(spark, sf_dir)
+    root, _ = _publish(spark, sf_dir)
     lake, checkpoint = work_folder(spark, "lake"), work_folder(spark, "checkpoint")
     run.finish_all([replicate.replicate_events(spark, root, lake, checkpoint, once=True)])
     sources, _ = _sides(spark, sf_dir)
