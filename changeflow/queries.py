@@ -1029,16 +1029,20 @@ def dedupe_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedupe_replays_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log published twice in offset order, read file by file.
+    """The log published twice in offset order, read in three batches.
 
     The delay exceeds the log's whole span, so no record is late.
     """
-    encoded = replicate.capture_changes(_log(spark, sf_dir))
+    log = _log(spark, sf_dir)
+    files = _files_of_a_batch(log, 2)
+    encoded = replicate.capture_changes(log)
     root = work_folder(spark, "topics")
     for _ in range(2):
-        stream.publish_changes(encoded.repartitionByRange(2, "offset"), root, timestamp="timestamp")
+        stream.publish_changes(
+            encoded.repartitionByRange(2 * files, "offset"), root, timestamp="timestamp"
+        )
     topics = list(schemas.EVENT_TOPICS.values())
-    records = stream.read_change_stream(spark, topics, root, max_per_trigger=3)
+    records = stream.read_change_stream(spark, topics, root, max_per_trigger=3 * files)
     return _texts(_land(spark, state.dedupe_replays(records, within="40 days")))
 
 

@@ -33,9 +33,22 @@ def test_one_file_a_batch_while_the_log_is_small(spark, small):
 
 
 @pytest.mark.parametrize(
-    "name", ["trigger", "trigger_all", "append_batches_all", "split_batches", "replicate_events"]
+    "name", ["trigger", "trigger_all", "append_batches_all", "split_batches", "replicate_events", "dedupe_replays_stream"]
 )
 def test_rows_and_batches_are_the_same_in_many_files(spark, small, monkeypatch, name):
     whole = rows(queries.QUERIES[name](spark, small))
     monkeypatch.setattr(queries, "FILE_ROWS", 50, raising=False)
     assert rows(queries.QUERIES[name](spark, small)) == whole
+
+
+def test_the_log_that_comes_twice_is_published_in_small_files(spark, small, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 50, raising=False)
+    most, publish = [], stream.publish_changes
+
+    def seen(changes, root, **options):
+        publish(changes, root, **options)
+        most.append(longest_file(stream.read_change_batch(spark, list(queries.schemas.EVENT_TOPICS.values()), root)))
+
+    monkeypatch.setattr(stream, "publish_changes", seen)
+    queries.dedupe_replays_stream(spark, small)
+    assert len(most) == 2 and max(most) <= 100
