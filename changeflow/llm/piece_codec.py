@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.tables import bounded_batches, handing_back
+from changeflow.llm.tables import bounded_batches, handing_back, keep
 
 MARK = "▁"
 #: Words kept per worker, and the longest that is kept.
@@ -40,6 +40,9 @@ BLOCK_CHARS = 1_500_000
 #: Words are put side by side with others of up to the same of these lengths.
 LENGTHS = (4, 7, 10, 13, 16, 20, 25, 32, 48, CACHE_CHARS)
 
+#: Tasks that use a worker's codec again.
+PURPOSE = "codec"
+
 #: The ids of a word.
 Entry = Sequence[int]
 
@@ -316,6 +319,7 @@ class PieceCodec:
 
 @lru_cache(maxsize=2)
 def codec(model_file: str, check: str) -> PieceCodec:
+    keep(PURPOSE, codec.cache_clear)
     return PieceCodec(model_file, check)
 
 
@@ -351,7 +355,7 @@ def digest_column(text: Column, model_file: str, check: str = "words") -> Column
     """Number of ids with the end id, digest of the ids, digest of the decoded text."""
 
     @F.arrow_udf(RESULT)
-    @handing_back
+    @handing_back(purpose=PURPOSE)
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(model_file, check)
         end = str(own.library.eos_id())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
-from functools import wraps
+from functools import partial, wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,22 +44,51 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
 
 
-def handing_back(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+#: What this worker keeps from one task to the next: a function that drops it, by its purpose.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keep(purpose: str, drop: Callable[[], None]) -> None:
+    """This worker keeps something for the tasks of a purpose; ``drop`` frees it."""
+    _KEPT[purpose] = drop
+
+
+def drop_others(purpose: str) -> None:
+    """Drops what this worker keeps for the tasks of other purposes."""
+    others = [p for p in _KEPT if p != purpose]
+    for other in others:
+        _KEPT.pop(other)()
+    if others:
+        hand_back()
+
+
+def hand_back() -> None:
+    """This worker's free memory goes back."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim is not None:
+        trim(0)
+
+
+def handing_back(
+    task: Callable[[Iterator], Iterator] | None = None, purpose: str = ""
+) -> Callable[[Iterator], Iterator]:
     """The function of a Python worker's batches; when they end, the worker's free memory goes back.
 
     Workers are used again, and an executor's next task, of whatever kind, has to
-    live beside what its workers have kept.
+    live beside what its workers have kept.  So a task first drops what was kept
+    for tasks of another ``purpose``.
     """
+    if task is None:
+        return partial(handing_back, purpose=purpose)
 
     @wraps(task)
     def run(batches: Iterator) -> Iterator:
+        drop_others(purpose)
         try:
             yield from task(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
-            if trim is not None:
-                trim(0)
+            hand_back()
 
     return run
 
