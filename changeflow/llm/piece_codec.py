@@ -17,7 +17,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import heapq
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from changeflow.llm.tables import bounded_batches, handing_back, keep
 
 MARK = "▁"
-#: Words kept per worker, and the longest that is kept.
+#: Words kept per worker (as many are those of the cache before), and the longest that is kept.
 CACHE_WORDS, CACHE_CHARS = 150_000, 64
-#: Signs of text whose new words are encoded together.
-BLOCK_CHARS = 1_500_000
+#: Signs of text whose new words are looked for together, for each word that is kept.
+BLOCK_SHARE = 10
+#: New words that are encoded together.
+NEW_WORDS = 20_000
 #: Words are put side by side with others of up to the same of these lengths.
 LENGTHS = (4, 7, 10, 13, 16, 20, 25, 32, 48, CACHE_CHARS)
 
@@ -64,12 +66,13 @@ def _without_collections() -> Iterator[None]:
 class PieceCodec:
     """Ids of texts by the vocabulary of a SentencePiece model file."""
 
-    def __init__(self, model_file: str, check: str = "words") -> None:
+    def __init__(self, model_file: str, check: str = "words", cache_words: int = CACHE_WORDS) -> None:
         if check not in ("words", "texts", "none"):
             raise ValueError(f"check must be words, texts or none: {check}")
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
         lib = self.library
         self.check = check
+        self.cache_words = cache_words
         self.pieces: dict[str, tuple[float, int]] = {}
         self.bytes = [lib.unk_id()] * 256
         for i in range(lib.get_piece_size()):
@@ -82,6 +85,8 @@ class PieceCodec:
         self._kept: dict[str, Entry] = {}
         self._old: dict[str, Entry] = {}
         self._decimal = [str(i) for i in range(lib.get_piece_size())]
+        #: One object per id, so that kept words share them.
+        self._numbers = list(range(lib.get_piece_size()))
         self._number_symbols()
 
     def _number_symbols(self) -> None:
@@ -258,7 +263,7 @@ class PieceCodec:
         missing = [w for w in met if w not in kept]
         if not missing:
             return {}
-        if len(kept) + len(missing) > CACHE_WORDS:
+        if len(kept) + len(missing) > self.cache_words:
             self._old, self._kept = kept, {}
             old, kept = kept, self._kept
             missing = list(met)
@@ -268,11 +273,10 @@ class PieceCodec:
                 kept[word] = old[word]
             else:
                 new.append(word)
-        found = self._entries(new)
-        long = {w: e for w, e in found.items() if len(w) > CACHE_CHARS}
-        for word in long:
-            del found[word]
-        kept.update(found)
+        long = {}
+        for at in range(0, len(new), NEW_WORDS):
+            for word, entry in self._entries(new[at : at + NEW_WORDS]).items():
+                (long if len(word) > CACHE_CHARS else kept)[word] = entry
         return long
 
     def _entries(self, words: list[str]) -> dict[str, Entry]:
@@ -281,7 +285,8 @@ class PieceCodec:
         if self.check == "words":
             # The library puts a mark before each word itself, but gives none for an empty text.
             self._compare([w.replace(MARK, " ") for w in words], ids, skip_empty=True)
-        return dict(zip(words, ids))
+        number = self._numbers.__getitem__
+        return {w: tuple(map(number, own)) for w, own in zip(words, ids)}
 
     def _compare(self, texts: list[str], ids: list[list[int]], skip_empty: bool = False) -> None:
         told = self.library.encode(texts, num_threads=1)
@@ -289,25 +294,28 @@ class PieceCodec:
             if own != theirs and not (skip_empty and text == ""):
                 raise ValueError(f"ids differ from the library's for {text[:80]!r}")
 
-    def encode_texts(self, texts: list[str]) -> Iterator[tuple[str, list[int]]]:
+    def encode_texts(self, texts: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """Of each text the decimal ids, joined by a space, and the ids; without an end id."""
-        at = 0
-        while at < len(texts):
-            to, size = at, 0
-            while to < len(texts) and (to == at or size + len(texts[to]) < BLOCK_CHARS):
-                size += len(texts[to])
-                to += 1
-            words = [self._words(t) for t in texts[at:to]]
-            with _without_collections():
-                long = self._learn(words)
-            kept = self._kept
-            for text, own in zip(texts[at:to], words):
-                entries = [kept[w] if w in kept else long[w] for w in own] if long else [kept[w] for w in own]
-                ids = list(chain.from_iterable(entries))
-                if self.check == "texts":
-                    self._compare([text], [ids])
-                yield " ".join(map(self._decimal.__getitem__, ids)), ids
-            at = to
+        block, size = [], 0
+        for text in texts:
+            if block and size + len(text) >= self.cache_words * BLOCK_SHARE:
+                yield from self._encode_block(block)
+                block, size = [], 0
+            block.append(text)
+            size += len(text)
+        yield from self._encode_block(block)
+
+    def _encode_block(self, texts: list[str]) -> Iterator[tuple[str, list[int]]]:
+        words = [self._words(t) for t in texts]
+        with _without_collections():
+            long = self._learn(words)
+        kept = self._kept
+        for text, own in zip(texts, words):
+            entries = [kept[w] if w in kept else long[w] for w in own] if long else [kept[w] for w in own]
+            ids = list(chain.from_iterable(entries))
+            if self.check == "texts":
+                self._compare([text], [ids])
+            yield " ".join(map(self._decimal.__getitem__, ids)), ids
 
     def encode(self, text: str, end: bool = True) -> list[int]:
         ((_, ids),) = self.encode_texts([text])
@@ -318,9 +326,9 @@ class PieceCodec:
 
 
 @lru_cache(maxsize=2)
-def codec(model_file: str, check: str) -> PieceCodec:
+def codec(model_file: str, check: str, cache_words: int = CACHE_WORDS) -> PieceCodec:
     keep(PURPOSE, codec.cache_clear)
-    return PieceCodec(model_file, check)
+    return PieceCodec(model_file, check, cache_words)
 
 
 def _digest(text: str) -> str:
@@ -351,17 +359,19 @@ def decode_column(ids: Column, model_file: str) -> Column:
     return text(ids)
 
 
-def digest_column(text: Column, model_file: str, check: str = "words") -> Column:
+def digest_column(
+    text: Column, model_file: str, check: str = "words", cache_words: int = CACHE_WORDS
+) -> Column:
     """Number of ids with the end id, digest of the ids, digest of the decoded text."""
 
     @F.arrow_udf(RESULT)
     @handing_back(purpose=PURPOSE)
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(model_file, check)
+        own = codec(model_file, check, cache_words)
         end = str(own.library.eos_id())
         for batch in batches:
             counts, of_ids, of_texts = [], [], []
-            for text, ids in own.encode_texts(pc.fill_null(batch, "").to_pylist()):
+            for text, ids in own.encode_texts(t.as_py() for t in pc.fill_null(batch, "")):
                 ids.append(own.library.eos_id())
                 counts.append(len(ids))
                 of_ids.append(_digest(f"{text} {end}" if text else end))
@@ -376,16 +386,18 @@ def digest_column(text: Column, model_file: str, check: str = "words") -> Column
 
 def piece_digests(
     docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
-    check: str = "words",
+    check: str = "words", cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """Encodes every whole text with an end id, decodes it, and digests both.
 
     One row per row of ``docs``, repeated rows and null ids included; null text
     counts as empty, whose only id is the end.  Other columns are left out.
+    ``cache_words`` bounds a worker's memory, not the result: with fewer words
+    kept, more of them are encoded again.
     """
     bounded_batches(docs.sparkSession)
     packed = docs.select(
         F.col(id_col).alias("doc_id"),
-        digest_column(F.col(text_col), model_file, check).alias("codec"),
+        digest_column(F.col(text_col), model_file, check, cache_words).alias("codec"),
     )
     return packed.select("doc_id", "codec.n_tokens", "codec.ids_sha256", "codec.decoded_sha256")

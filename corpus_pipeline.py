@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from changeflow.llm import digest_index, jaccard_join, mixing, piece_codec, quality_model
 from changeflow.llm.tables import written
 
+#: Words that a worker keeps encoded.
+CACHE_WORDS = 30_000
+
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
@@ -35,8 +38,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of the ids and of the decoded text of every document."""
-    return piece_codec.piece_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    """Digests of the ids and of the decoded text of every document.
+
+    Few words are kept: the workers live beside a heap that the stages before have filled.
+    """
+    return piece_codec.piece_digests(docs, public_tokenizers.path("piece_bpe_32k.model"), cache_words=CACHE_WORDS)
 
 
 STAGES = [

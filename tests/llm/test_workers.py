@@ -37,3 +37,20 @@ def test_workers_drop_the_codec(spark):
     found = spark.range(8, numPartitions=8).mapInArrow(kept, "n long").collect()
     assert found and all(r.n == 0 for r in found)
     assert sorted(piece_codec.piece_digests(docs, model).collect()) == first
+
+
+def test_a_small_cache_gives_the_same_ids_and_keeps_few_words():
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [" ".join(f"w{i * j % 997}x{j}" for j in range(60)) for i in range(40)] + ["", " ", "y" * 90, "a  b " * 300]
+    large, small = piece_codec.PieceCodec(model), piece_codec.PieceCodec(model, cache_words=100)
+    assert list(small.encode_texts(iter(texts))) == list(large.encode_texts(texts))
+    assert [ids for _, ids in small.encode_texts(texts)] == small.library.encode(texts)
+    # No more than those of one block, or the cache's bound.
+    assert len(small._kept) <= 1_000 < len(large._kept)
+
+
+def test_kept_words_share_their_ids():
+    own = piece_codec.PieceCodec(public_tokenizers.path("piece_bpe_32k.model"))
+    list(own.encode_texts(["resharing sharing unsharing"]))
+    numbers = {id(n) for n in own._numbers}
+    assert own._kept and all(id(n) in numbers for entry in own._kept.values() for n in entry)
