@@ -17,8 +17,10 @@ are the same.
    is linked is put in components.  Thousands of near copies cost one pair each.
 3. Only keys whose members are still in different components are left.  Their
    members are compared by whole sketches, in parts of bounded size.  First each
-   set is verified against its nearest one in another component, then, where
-   components still differ, all pairs whose sketches allow a link.
+   set is verified against its nearest one in another component.  Where components
+   still differ, the sets with a sketch that allows a link meet again with their texts;
+   there all such pairs are verified, the nearest first, until they are joined.  No
+   pair leaves its task unless it joins two components.
 
 No link between different components is lost, so the components are exact.
 """
@@ -41,6 +43,10 @@ from changeflow.llm.words import distinct_shingles, mix
 BAND = 1.5
 #: Members of a key that are compared in one task at once.
 PART = 4096
+#: Shingles of those members, 8 bytes each.
+PART_SHINGLES = 1 << 22
+#: Keys of members, and bytes of their rows, that a task gathers before it compares whole groups of them.
+HELD_KEYS, HELD_BYTES = 200_000, 32 << 20
 #: Members beyond which keys count as equally frequent.
 MANY = 200_000
 #: 64-bit words of sketches that are compared at once.
@@ -314,116 +320,197 @@ def _needed(shared: DataFrame, rooms: DataFrame) -> DataFrame:
     return kept.agg(F.max("key").alias("key"), F.count(F.lit(1)).alias("keys")).select("key", "id", "hub", "keys")
 
 
+def _near_pairs(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows (left, right) of sets of different components whose sketches allow a link, and how far they are apart.
+
+    The sets of a pair share a key in a group.  Pairs come in portions of bounded size.
+    """
+    keys = table.column("keys").combine_chunks()
+    row = np.repeat(np.arange(len(table)), keys.value_lengths().to_numpy())
+    key, group, n = keys.flatten().to_numpy(), table.column("group").to_numpy()[row], table.column("n").to_numpy()[row]
+    sorted_ = np.lexsort((n, key, group))
+    row, key, group, n = row[sorted_], key[sorted_], group[sorted_], n[sorted_]
+    comp, side = (table.column(c).to_numpy()[row] for c in ("comp", "side"))
+    raw = [w for w in table.column("whole").to_pylist()]
+    lengths = np.array([len(w) // 8 for w in raw])
+    flat = np.frombuffer(b"".join(raw), dtype=np.uint64)
+    offsets = (np.cumsum(lengths) - lengths)[row]
+    words = lengths[row]
+    number = np.cumsum(np.concatenate([[0], (group[1:] != group[:-1]) | (key[1:] != key[:-1])]))
+    place = number * (1 << 40) + n
+    until = np.searchsorted(place, number * (1 << 40) + n * 100 // percent, side="right")
+    partners = until - np.arange(len(n)) - 1
+    ends = np.cumsum(partners * words)
+    at = 0
+    while at < len(n):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIR_WORDS, side="right")))
+        mine = partners[at:to]
+        left = np.repeat(np.arange(at, to), mine)
+        step = np.arange(len(left)) - np.repeat(np.cumsum(mine) - mine, mine)
+        right = left + 1 + step
+        ok = (comp[left] != comp[right]) & ((side[left] != side[right]) | (side[left] == 2))
+        left, right = left[ok], right[ok]
+        apart = np.zeros(len(left), dtype=np.int64)
+        for w in np.unique(words[left]):
+            own = np.flatnonzero(words[left] == w)
+            a = flat[offsets[left[own]][:, None] + np.arange(w)]
+            b = flat[offsets[right[own]][:, None] + np.arange(w)]
+            times = words[right[own]] // w  # a larger set's sketch is so many times as long
+            for part in range(1, int(times.max())):
+                more = times > part
+                b[more] ^= flat[offsets[right[own]][more][:, None] + part * w + np.arange(w)]
+            apart[own] = np.bitwise_count(a ^ b).sum(axis=1)
+        near = apart <= (100 - percent) * (n[left] + n[right]) // (100 + percent)
+        yield row[left[near]], row[right[near]], apart[near]
+        at = to
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in tables of whole groups, as many as fit ``HELD_KEYS`` and ``HELD_BYTES``, or one group."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        group = batch.column("group").to_numpy()
+        if not len(group):
+            continue
+        lengths = batch.column("keys").value_lengths().to_numpy()
+        rows, size = rows + int(lengths.sum()), size + batch.nbytes
+        cut = int(np.flatnonzero(group != group[-1])[-1]) + 1 if group[0] != group[-1] else 0
+        if cut and (rows > HELD_KEYS or size > HELD_BYTES):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held, rows, size = [batch.slice(cut)], int(lengths[cut:].sum()), batch.slice(cut).nbytes
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _candidates(grouped: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs (id, hub, apart) with a key in a group whose sketches allow a link between components.
 
-    With ``nearest`` only one of them for each member, the one least apart.  Rows
-    without ``keys`` have one key per group.
+    With ``nearest`` only one of them for each member, the one least apart; else all, whose
+    number grows with the square of a group: for a few sets only.  Rows without
+    ``keys`` have one key per group.
     """
     if "keys" not in grouped.columns:
         grouped = grouped.withColumn("keys", F.array(F.lit(0).cast("bigint")))
 
-    def compared(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(rows)
-        keys = table.column("keys").combine_chunks()
-        row = np.repeat(np.arange(len(table)), keys.value_lengths().to_numpy())
-        key, group, n = keys.flatten().to_numpy(), table.column("group").to_numpy()[row], table.column("n").to_numpy()[row]
-        sorted_ = np.lexsort((n, key, group))
-        order, key, group, n = row[sorted_], key[sorted_], group[sorted_], n[sorted_]
-        ids, comp, side = (table.column(c).to_numpy()[order] for c in ("id", "comp", "side"))
-        raw = [w for w in table.column("whole").to_pylist()]
-        lengths = np.array([len(w) // 8 for w in raw])
-        flat = np.frombuffer(b"".join(raw), dtype=np.uint64)
-        offsets = (np.cumsum(lengths) - lengths)[order]
-        words = lengths[order]
-        number = np.cumsum(np.concatenate([[0], (group[1:] != group[:-1]) | (key[1:] != key[:-1])]))
-        place = number * (1 << 40) + n
-        until = np.searchsorted(place, number * (1 << 40) + n * 100 // percent, side="right")
-        partners = until - np.arange(len(n)) - 1
-        ends = np.cumsum(partners * words)
-        at, found = 0, []
-        while at < len(n):
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIR_WORDS, side="right")))
-            mine = partners[at:to]
-            left = np.repeat(np.arange(at, to), mine)
-            step = np.arange(len(left)) - np.repeat(np.cumsum(mine) - mine, mine)
-            right = left + 1 + step
-            ok = (comp[left] != comp[right]) & ((side[left] != side[right]) | (side[left] == 2))
-            left, right = left[ok], right[ok]
-            apart = np.zeros(len(left), dtype=np.int64)
-            for w in np.unique(words[left]):
-                own = np.flatnonzero(words[left] == w)
-                a = flat[offsets[left[own]][:, None] + np.arange(w)]
-                b = flat[offsets[right[own]][:, None] + np.arange(w)]
-                times = words[right[own]] // w  # a larger set's sketch is so many times as long
-                for part in range(1, int(times.max())):
-                    more = times > part
-                    b[more] ^= flat[offsets[right[own]][more][:, None] + part * w + np.arange(w)]
-                apart[own] = np.bitwise_count(a ^ b).sum(axis=1)
-            near = apart <= (100 - percent) * (n[left] + n[right]) // (100 + percent)
-            left, right, apart = left[near], right[near], apart[near]
-            if nearest and len(left):
-                from_, to_ = np.concatenate([left, right]), np.concatenate([right, left])
-                both = np.concatenate([apart, apart])
-                left, right, apart = _firsts(ids[from_], ids[to_], both, 1)
-            else:
-                left, right, apart = _firsts(np.maximum(ids[left], ids[right]), np.minimum(ids[left], ids[right]), apart, 2)
-            found.append((left, right, apart))
-            at = to
-        left, right, apart = (np.concatenate(x) for x in zip(*found))
-        if len(left):
-            left, right, apart = _firsts(left, right, apart, 1 if nearest else 2)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(left), pa.array(right), pa.array(apart)], names=["id", "hub", "apart"]
-            )
-
     @handing_back
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        rows = 0
-        for batch in batches:
-            group = batch.column("group").to_numpy()
-            if not len(group):
-                continue
-            lengths = batch.column("keys").value_lengths().to_numpy()
-            rows += int(lengths.sum())
-            cut = int(np.flatnonzero(group != group[-1])[-1]) + 1 if group[0] != group[-1] else 0
-            if rows > 200_000 and cut:
-                yield from compared([*held, batch.slice(0, cut)])
-                held, rows = [batch.slice(cut)], int(lengths[cut:].sum())
-            else:
-                held.append(batch)
-        if held:
-            yield from compared(held)
-
-    return grouped.mapInArrow(pairs, "id bigint, hub bigint, apart bigint")
-
-
-def _firsts(a: np.ndarray, b: np.ndarray, apart: np.ndarray, keys: int) -> tuple[np.ndarray, ...]:
-    """Of each a (or each a and b, with two keys) the row least apart."""
-    order = np.lexsort((b, apart, a) if keys == 1 else (b, a))
+        for table in _whole_groups(batches):
+            ids, found = table.column("id").to_numpy(), []
+            for left, right, apart in _near_pairs(table, percent):
+                a, b = np.maximum(ids[left], ids[right]), np.minimum(ids[left], ids[right])
+                if nearest:
+                    a, b, apart = _firsts(np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([apart, apart]))
+                found.append((a, b, apart))
+            a, b, apart = (np.concatenate(x) for x in zip(*found))
+            if nearest:
+                a, b, apart = _firsts(a, b, apart)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(apart)], names=["id", "hub", "apart"])
+
+    found = grouped.mapInArrow(pairs, "id bigint, hub bigint, apart bigint")
+    return found if nearest else found.dropDuplicates(["id", "hub"])
+
+
+def _near_members(grouped: DataFrame, percent: int) -> DataFrame:
+    """The rows that have such a pair in their group: at most as many as there are, however many pairs they have."""
+
+    @handing_back
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            near = np.zeros(len(table), dtype=bool)
+            for left, right, _ in _near_pairs(table, percent):
+                near[left] = near[right] = True
+            yield from table.filter(pa.array(near)).to_batches()
+
+    return grouped.mapInArrow(members, grouped.schema)
+
+
+def _joined_within(near: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (id, hub) that join the components of near members as all links of a group would.
+
+    Pairs are verified on the whole texts, the nearest first, unless earlier links
+    have joined their components; so a group gives fewer links than it has members.
+    """
+    grouped = near.join(texts.withColumnRenamed("doc", "id"), "id").repartition("group").sortWithinPartitions("group", "id")
+
+    @handing_back
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            own = list(distinct_shingles(table.column("text"), k))
+            ids, root, found = table.column("id").to_numpy(), Roots(table.column("comp").to_numpy()), []
+            for left, right, apart in _near_pairs(table, percent):
+                order = np.lexsort((right, left, apart))
+                for a, b in zip(left[order].tolist(), right[order].tolist()):
+                    if not root.same(a, b) and _similar(own[a], own[b], percent):
+                        root.join(a, b)
+                        found.append((a, b))
+            if found:
+                a, b = ids[np.array(found)].T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["id", "hub"]
+                )
+
+    return grouped.mapInArrow(links, "id bigint, hub bigint")
+
+
+class Roots:
+    """Which rows of a task have been joined, by their components."""
+
+    def __init__(self, comp: np.ndarray) -> None:
+        numbers, self._of = np.unique(comp, return_inverse=True)
+        self._of, self._up = self._of.tolist(), list(range(len(numbers)))
+
+    def _root(self, row: int) -> int:
+        up, at = self._up, self._of[row]
+        while up[at] != at:
+            up[at] = at = up[up[at]]
+        return at
+
+    def same(self, a: int, b: int) -> bool:
+        return self._root(a) == self._root(b)
+
+    def join(self, a: int, b: int) -> None:
+        self._up[self._root(a)] = self._root(b)
+
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets, sorted, have the similarity; an empty one has it with none."""
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    place = np.searchsorted(b, a)
+    place[place == len(b)] = 0
+    common = int((b[place] == a).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _firsts(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each a the row least apart."""
+    order = np.lexsort((b, apart, a))
     a, b, apart = a[order], b[order], apart[order]
     new = np.ones(len(a), dtype=bool)
     new[1:] = a[1:] != a[:-1]
-    if keys == 2:
-        new[1:] |= b[1:] != b[:-1]
     return a[new], b[new], apart[new]
 
 
 def _torn(keys: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members (key, id, comp, hub, parts) of keys that are in different components.
+    """The members (key, id, n, comp, hub, parts) of keys that are in different components.
 
     Two similar sets share many keys, so most keys have the members of another one:
     of keys with the same members, by two digests of 64 bits, one is enough.  A key
-    with more members than ``PART`` is to be cut into parts.  The hub is the smallest
-    id.  Components only grow together, so what is torn later is among what is torn now.
+    with more members than ``PART``, or more shingles than ``PART_SHINGLES``, is to be cut
+    into parts.  The hub is the smallest id.  Components only grow together, so what is torn later is among what is torn now.
     """
-    members = keys.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    members = keys.join(labels, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
     torn = members.groupBy("key").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"), F.min("id").alias("hub"),
         F.bit_xor(F.xxhash64("id")).alias("one"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("two"),
-    ).where("low != high").groupBy("one", "two", "members", "hub").agg(F.min("key").alias("key"))
-    torn = written(torn.select("key", "hub", F.ceil(F.col("members") / PART).cast("int").alias("parts")), "torn-keys")
+        F.sum("n").alias("shingles"),
+    ).where("low != high").groupBy("one", "two", "members", "hub", "shingles").agg(F.min("key").alias("key"))
+    parts = F.ceil(F.greatest(F.col("members") / PART, F.col("shingles") / PART_SHINGLES)).cast("int")
+    torn = written(torn.select("key", "hub", parts.alias("parts")), "torn-keys")
     return written(members.join(torn, "key"), "torn-members")
 
 
@@ -480,9 +567,8 @@ def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.withColumn("spot", spot).mapInArrow(likely, rows.schema)
 
 
-def _involved(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents that are in a pair."""
-    ids = pairs.select(F.explode(F.array("id", "hub")).alias("doc")).distinct()
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts (doc, text) of the documents in ``ids`` (distinct, column doc)."""
     marked = docs.select(F.col("id").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     return _likely(marked, ids).join(ids, "doc")
 
@@ -495,7 +581,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
     """
     rows = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n"))
     split = rows.select("hub", F.ceil(F.col("n") / 256).cast("int").alias("parts"))
-    texts = written(_involved(docs, pairs), "involved-texts")
+    ids = pairs.select(F.explode(F.array("id", "hub")).alias("doc")).distinct()
+    texts = written(_texts(docs, ids), "involved-texts")
     placed = pairs.join(split, "hub").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     partners = placed.select("hub", "part", F.col("id").alias("doc")).join(texts, "doc").select(
         "hub", "part", F.lit(1).alias("role"), "doc", "text"
@@ -515,12 +602,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
                 if role == 0:
                     centre = own
                     continue
-                if not len(own) or 100 * min(len(own), len(centre)) < percent * max(len(own), len(centre)):
-                    continue
-                place = np.searchsorted(centre, own)
-                place[place == len(centre)] = 0
-                common = int((centre[place] == own).sum())
-                if 100 * common >= percent * (len(own) + len(centre) - common):
+                if _similar(own, centre, percent):
                     found_id.append(doc)
                     found_hub.append(hub)
             yield pa.RecordBatch.from_arrays(
@@ -553,7 +635,8 @@ def jaccard_components(
 
     # Equal sets are one class; a class has links to its smallest id.
     classes = real.groupBy("n", "sum", "other").agg(F.min("id").alias("hub"))
-    same = real.join(classes, ["n", "sum", "other"]).where("id != hub").select("id", "hub").distinct()
+    of_class = real.join(classes, ["n", "sum", "other"]).select("id", "hub", "n").distinct()
+    same = of_class.where("id != hub").select("id", "hub")
 
     packed = rows.where(F.col("kind") == KEYS).select("part", "packed")
     rooms = rows.where(F.col("kind") == ROOMS).select("id", "code", "n")
@@ -571,22 +654,26 @@ def jaccard_components(
     linked = written(same.unionByName(_verified(named, first, k, percent)), "star-links")
     labels = connected_components(linked)
 
-    torn = _torn(needed.select("key", "id"), labels)
+    # Copies of a set have its keys once for each task that met it; one of them is enough.
+    keys = needed.select("key", "id").join(of_class, "id").select("key", F.col("hub").alias("id"), "n").distinct()
+    torn = _torn(keys, labels)
     between = torn.select(F.col("id").alias("doc")).distinct()
     sketched = _likely(real.select(F.col("id").alias("doc"), "n", "whole"), between).join(between, "doc")
     sketched = written(sketched.dropDuplicates(["doc"]).withColumnRenamed("doc", "id"), "torn-sets")
-    for nearest in (True, False):
-        if not nearest:
-            torn = _torn(torn.select("key", "id"), labels)
-        pairs = _candidates(_grouped(torn, sketched), percent, nearest)
-        if nearest:
-            pairs = pairs.groupBy("id").agg(F.min_by("hub", F.struct("apart", "hub")).alias("hub"))
-        chosen = pairs.select(F.greatest("id", "hub").alias("id"), F.least("id", "hub").alias("hub")).distinct()
-        chosen = written(chosen, "sketch-pairs")
-        if chosen.isEmpty():
-            break
+    pairs = _candidates(_grouped(torn, sketched), percent, True).groupBy("id").agg(
+        F.min_by("hub", F.struct("apart", "hub")).alias("hub")
+    )
+    chosen = pairs.select(F.greatest("id", "hub").alias("id"), F.least("id", "hub").alias("hub")).distinct()
+    chosen = written(chosen, "sketch-pairs")
+    if not chosen.isEmpty():
         linked = written(linked.unionByName(_verified(named, chosen, k, percent)), "all-links")
         labels = connected_components(linked)
+        torn = _torn(torn.select("key", "id", "n"), labels)
+        near = written(_near_members(_grouped(torn, sketched), percent), "near-members")
+        texts = _texts(named, near.select(F.col("id").alias("doc")).distinct()).dropDuplicates(["doc"])
+        links = written(_joined_within(near, texts, k, percent), "near-links")
+        if not links.isEmpty():
+            labels = connected_components(linked.unionByName(links))
     # Sizes come with the sets, a row for each of the input.
     return sets.join(labels, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),

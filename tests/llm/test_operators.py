@@ -488,6 +488,29 @@ def test_components_match_brute_force(spark, percent, k):
     assert found == brute_components(texts, percent, k)
 
 
+def almost_linked(count: int) -> dict[int, str]:
+    """Texts that pairwise have 300 of 376 words in common, just too few, and one that links with two of them."""
+    common = " ".join(f"c{j}" for j in range(300))
+    texts = {i: f"{common} " + " ".join(f"w{i}_{j}" for j in range(38)) for i in range(count)}
+    texts[count] = f"{common} " + " ".join(f"w{i}_{j}" for i in (7, 8) for j in range(19))
+    return texts
+
+
+def test_pairs_between_groups_grow_with_the_documents(spark, monkeypatch):
+    texts, counts = almost_linked(60), []
+
+    def verified(docs, pairs, *how, own=jaccard_join._verified):
+        counts.append(pairs.count())
+        return own(docs, pairs, *how)
+
+    monkeypatch.setattr(jaccard_join, "_verified", verified)
+    docs = spark.createDataFrame(list(texts.items()), DOCS)
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs, 80, 1).collect()}
+    assert found == brute_components(texts, 80, 1)
+    assert found[60] == found[8] == 7 and len(set(found.values())) == 59
+    assert max(counts) <= len(texts)
+
+
 def test_sketches_of_much_larger_sets_are_folded(spark):
     """A linked pair with sketches of 1 and 4 words, its common shingles in the last two."""
     pool = np.random.default_rng(3).integers(0, 1 << 63, 20_000, dtype=np.uint64)
