@@ -49,8 +49,8 @@ PART_SHINGLES = 1 << 22
 HELD_KEYS, HELD_BYTES = 200_000, 32 << 20
 #: Members beyond which keys count as equally frequent.
 MANY = 200_000
-#: 64-bit words of sketches that are compared at once.
-PAIR_WORDS = 1 << 21
+#: 64-bit words of sketches that are compared at once; a portion takes some 30 bytes for each.
+PAIR_WORDS = 1 << 19
 #: Marks the bands of sets with too many empty blocks; bands are below it, as sets are below BAND ** 64.
 SPARSE = 1 << 6
 #: The high bits of a key have its band and the mark, the low ones its hash.

@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at once; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+#: Every worker keeps powers for as many bytes, and a block takes some 30 times its size.
+BLOCK_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
-from changeflow.llm import piece_codec, tables
+from changeflow.llm import jaccard_join, piece_codec, tables, words
 from changeflow.llm.tables import handing_back
 
 
@@ -54,3 +58,66 @@ def test_kept_words_share_their_ids():
     list(own.encode_texts(["resharing sharing unsharing"]))
     numbers = {id(n) for n in own._numbers}
     assert own._kept and all(id(n) in numbers for entry in own._kept.values() for n in entry)
+
+
+def peak_mb(work):
+    """What numpy and Python took at most, beyond what they had."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / (1 << 20)
+    finally:
+        tracemalloc.stop()
+
+
+def test_hashing_words_takes_little_memory():
+    column = pa.array([" ".join(f"w{i * j % 9973}" for j in range(300)) for i in range(3000)])
+    assert column.nbytes > 4 << 20
+    tables_mb = sum(t.nbytes for t in words._POWERS) / (1 << 20)
+    assert tables_mb < 5
+    assert peak_mb(lambda: [None for _ in words.distinct_shingles(column, 5)]) < 16
+
+
+def test_blocks_of_any_size_give_the_same_shingles(monkeypatch):
+    texts = [" ".join(f"w{i * j % 97}" for j in range(i % 50)) for i in range(400)] + ["é" * 3000 + " x y", "", None]
+    column = pa.array(texts)
+    expected = [own.tolist() for own in words.distinct_shingles(column, 4)]
+    for size in (1, 500, 1 << 20):
+        monkeypatch.setattr(words, "BLOCK_BYTES", size)
+        monkeypatch.setattr(words, "_POWERS", tuple(words._powers(b, size) for b in (words._BASE, words._INVERSE)))
+        assert [own.tolist() for own in words.distinct_shingles(column, 4)] == expected
+
+
+def members(n, shingles):
+    """Sets in one group, each with a component of its own, that share a key."""
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 1 << 62, shingles, dtype=np.uint64)
+    own = [np.sort(np.concatenate([common, rng.integers(0, 1 << 62, 9, dtype=np.uint64)])) for _ in range(n)]
+    return pa.table({
+        "group": pa.array([1] * n, pa.int64()), "side": pa.array([2] * n, pa.int32()), "id": pa.array(range(n), pa.int64()),
+        "comp": pa.array(range(n), pa.int64()), "n": pa.array([len(s) for s in own], pa.int64()),
+        "whole": pa.array([jaccard_join.whole_sketch(s).tobytes() for s in own], pa.binary()),
+        "keys": pa.array([[7]] * n, pa.list_(pa.int64())),
+    })
+
+
+def test_comparing_sketches_takes_little_memory():
+    table = members(700, 120)  # 244,650 pairs of 8 words
+
+    def work():
+        assert sum(len(left) for left, _, _ in jaccard_join._near_pairs(table, 80)) == 700 * 699 // 2
+
+    assert peak_mb(work) < 40
+
+
+def test_portions_of_any_size_give_the_same_pairs(monkeypatch):
+    table = members(60, 40)
+
+    def pairs():
+        return sorted(x for part in jaccard_join._near_pairs(table, 70) for x in zip(*(p.tolist() for p in part)))
+
+    expected = pairs()
+    assert expected
+    for size in (1, 300, 1 << 21):
+        monkeypatch.setattr(jaccard_join, "PAIR_WORDS", size)
+        assert pairs() == expected
